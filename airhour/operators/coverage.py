@@ -81,7 +81,7 @@ def coverage_gaps(
     """
     present = hours_with_data(readings, by_location or locations is not None)
     if by_location and locations is None:
-        locations = present.select("pollutant", "location").distinct()
+        locations = present.where(F.col("location").isNotNull()).select("pollutant", "location").distinct()
     spine = requested_hours(readings, start, end, locations)
     return spine.join(present, spine.columns, "left_anti")
 

@@ -23,18 +23,34 @@ def valid_rows(df: DataFrame, status: str = "status") -> DataFrame:
     return df.where(is_valid(status))
 
 
-def hourly_wide(df: DataFrame, metrics: list[str], time_col: str = "time", location_col: str = "location") -> DataFrame:
+def _by_hour(df: DataFrame, time_col: str, location_col: str, watermark_delay: str | None):
+    """Grouping by hour and location; for a stream, by windows that a watermark closes."""
+    location = F.col(location_col).alias("location")
+    if watermark_delay is None:
+        return df.groupBy(truncate_to_hour(F.col(time_col)).alias("time"), location)
+    return df.withWatermark(time_col, watermark_delay).groupBy(F.window(time_col, "1 hour").alias("hour"), location)
+
+
+def _start_of_hour(watermark_delay: str | None) -> Column:
+    return (F.col("time") if watermark_delay is None else F.col("hour.start")).alias("time")
+
+
+def hourly_wide(
+    df: DataFrame,
+    metrics: list[str],
+    time_col: str = "time",
+    location_col: str = "location",
+    watermark_delay: str | None = None,
+) -> DataFrame:
     """One row per hour and location of the valid rows: a mean per metric, and ``count_ok``.
 
     ``count_ok`` counts valid rows, whether or not a metric is null in them.
     Means are partial sums before the shuffle, so an hour or location that
     holds much of the data still sends one small row per map task.
     """
-    return (
-        valid_rows(df)
-        .groupBy(truncate_to_hour(F.col(time_col)).alias("time"), F.col(location_col).alias("location"))
-        .agg(*[F.avg(m).alias(m) for m in metrics], F.count(F.lit(1)).alias("count_ok"))
-    )
+    grouped = _by_hour(valid_rows(df), time_col, location_col, watermark_delay)
+    wide = grouped.agg(F.count(F.lit(1)).alias("count_ok"), *[F.avg(m).alias(m) for m in metrics])
+    return wide.select(_start_of_hour(watermark_delay), "location", *metrics, "count_ok")
 
 
 def _cells(cells: list[tuple[str, Column, Column]]) -> Column:
@@ -77,28 +93,32 @@ def aggregate_to_long_format(
     return wide_to_long(wide, metric_columns, version)
 
 
-def hourly_long(readings: list[Readings], version: str | None = None) -> DataFrame:
+def hourly_long(
+    readings: list[Readings], version: str | None = None, watermark_delay: str | None = None
+) -> DataFrame:
     """Hourly long rows of many tables.
 
     Tables stored on their own give one aggregate each and a union. Tables that
     share a wide base are aggregated together: one scan and one shuffle for all.
+    Streams need a ``watermark_delay``.
     """
     if not readings:
         return create_empty_output_dataframe(SparkSession.active())
     parts = [
-        _own_table(group[0], version) if len(group) == 1 else _shared_base(group, version)
+        _own_table(group[0], version, watermark_delay)
+        if len(group) == 1
+        else _shared_base(group, version, watermark_delay)
         for group in by_base(readings)
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _own_table(item: Readings, version: str | None) -> DataFrame:
-    return aggregate_to_long_format(
-        item.frame(), metric_columns=build_metric_columns(item.table.metrics), version=version
-    )
+def _own_table(item: Readings, version: str | None, watermark_delay: str | None) -> DataFrame:
+    names = build_metric_columns(item.table.metrics)
+    return wide_to_long(hourly_wide(item.frame(), list(names), watermark_delay=watermark_delay), names, version)
 
 
-def _shared_base(group: list[Readings], version: str | None) -> DataFrame:
+def _shared_base(group: list[Readings], version: str | None, watermark_delay: str | None) -> DataFrame:
     means = []
     counts = []
     cells = []
@@ -109,13 +129,10 @@ def _shared_base(group: list[Readings], version: str | None) -> DataFrame:
             means.append(F.avg(F.when(valid, F.col(column))).alias(f"{key}.{column}"))
             cells.append((name, F.col(f"`{key}.{column}`"), F.col(f"`{key}.count_ok`")))
     any_valid = reduce(Column.__or__, [is_valid(status) for status in dict.fromkeys(i.status for i in group)])
-    hourly = (
-        group[0]
-        .rows.where(any_valid)
-        .groupBy(truncate_to_hour(F.col("time")).alias("time"), "location")
-        .agg(*counts, *means)
+    hourly = _by_hour(group[0].rows.where(any_valid), "time", "location", watermark_delay).agg(*counts, *means)
+    long = hourly.select(
+        _start_of_hour(watermark_delay), "location", _cells(cells), F.lit(version).cast("string").alias("version")
     )
-    long = hourly.select("time", "location", _cells(cells), F.lit(version).cast("string").alias("version"))
     return validate_output_schema(long.where(F.col("count_ok") > 0))
 
 

@@ -13,6 +13,7 @@ from ..functions.time import (
     ensure_utc,
     get_current_hour_start,
     get_previous_hour_start,
+    truncate_to_hour,
 )
 
 # Fixed value: the lower bound when only an end is given.
@@ -31,10 +32,11 @@ class TimeRange:
 
         ``date_col`` names a partition column holding the date of ``time_col``.
         The extra bounds on it select no fewer rows, they let Spark skip the
-        directories of other days.
+        directories of other days. The comparison of the bounds is constant
+        for literals, so an empty range is planned without a scan.
         """
         time = F.col(time_col)
-        inside = (time >= self.start) & (time < self.end)
+        inside = (self.start < self.end) & (time >= self.start) & (time < self.end)
         if date_col is None:
             return inside
         date = F.col(date_col)
@@ -71,4 +73,4 @@ def specific_hour(hour: TimeLike) -> TimeRange:
 
 def backfill_range(start: TimeLike, end: TimeLike) -> TimeRange:
     """All whole hours from ``start``'s hour up to, but without, ``end``'s hour."""
-    return TimeRange(get_current_hour_start(ensure_utc(start)), get_current_hour_start(ensure_utc(end)))
+    return TimeRange(truncate_to_hour(start), truncate_to_hour(end))
