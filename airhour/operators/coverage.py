@@ -34,15 +34,19 @@ def preview(hours: DataFrame, n: int = 5) -> tuple[list, int]:
 
 
 def hours_with_data(readings: list[Readings], by_location: bool = False) -> DataFrame:
-    """``pollutant, [location,] hour, rows`` of the hours that hold any row, valid or not."""
+    """``pollutant, [location,] hour, rows`` of the hours that hold any row, valid or not.
+
+    Null keys are dropped here, as a join on them would; both uses in a gap
+    report then share one scan.
+    """
+    hour = truncate_to_hour(F.col("time"))
     keys = ["location"] if by_location else []
     parts = []
     for group in by_base(readings):
-        counted = (
-            group[0]
-            .rows.groupBy(truncate_to_hour(F.col("time")).alias("hour"), *keys)
-            .agg(F.count(F.lit(1)).alias("rows"))
-        )
+        rows = group[0].rows.where(hour.isNotNull())
+        for key in keys:
+            rows = rows.where(F.col(key).isNotNull())
+        counted = rows.groupBy(hour.alias("hour"), *keys).agg(F.count(F.lit(1)).alias("rows"))
         tables = F.array(*[F.lit(item.table.key) for item in group])
         parts.append(counted.select(F.explode(tables).alias("pollutant"), *keys, "hour", "rows"))
     return reduce(DataFrame.unionByName, parts)
@@ -81,7 +85,7 @@ def coverage_gaps(
     """
     present = hours_with_data(readings, by_location or locations is not None)
     if by_location and locations is None:
-        locations = present.where(F.col("location").isNotNull()).select("pollutant", "location").distinct()
+        locations = present.select("pollutant", "location").distinct()
     spine = requested_hours(readings, start, end, locations)
     return spine.join(present, spine.columns, "left_anti")
 

@@ -32,7 +32,7 @@ from ..operators.quality import (
     table_status_report,
 )
 from ..schema import OUTPUT_COLUMNS, validate_output_schema
-from ..session import prepare, scratch_path
+from ..session import prepare, prepare_streaming, scratch_path
 from ..sinks.tables import AppendSink, HourPartitionSink, NarrowTableSink, ReportSink, export, materialise
 from ..sources.events import (
     STATUS_COLUMNS,
@@ -70,20 +70,20 @@ def register(query: Query) -> Query:
     return query
 
 
-def moment_of(df: DataFrame, aggregate: Column) -> datetime:
-    """A time aggregated from all rows: one row, read ahead, as bounds must be literals to reach the scan."""
-    micros = df.agg(F.unix_micros(aggregate)).first()[0]
-    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros)
+def moments_of(df: DataFrame, *aggregates: Column) -> list[datetime]:
+    """Times aggregated from all rows: one row, read ahead, as bounds must be literals to reach the scan."""
+    row = df.agg(*[F.unix_micros(aggregate) for aggregate in aggregates]).first()
+    return [datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros) for micros in row]
 
 
 def clock(spark: SparkSession, sf_dir: str) -> datetime:
     """The newest event time; it stands in for now, so results do not depend on the day."""
-    return moment_of(events(spark, sf_dir), F.max(ensure_utc(F.col("ts"))))
+    return moments_of(events(spark, sf_dir), F.max(ensure_utc(F.col("ts"))))[0]
 
 
 def last_processed(spark: SparkSession, sf_dir: str) -> datetime:
     """The oldest mark among the pipelines of the event state log."""
-    return moment_of(latest_state(event_state_log(spark, sf_dir)), F.min("last_processed_hour"))
+    return moments_of(latest_state(event_state_log(spark, sf_dir)), F.min("last_processed_hour"))[0]
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +230,7 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hour_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hour between the first and the newest event, with the readings in it."""
     rows = events(spark, sf_dir).select(ensure_utc(F.col("ts")).alias("time"))
-    spine = iter_hours(spark, moment_of(rows, F.min("time")), clock(spark, sf_dir))
+    spine = iter_hours(spark, *moments_of(rows, F.min("time"), F.max("time")))
     counted = rows.groupBy(truncate_to_hour(F.col("time")).alias("hour")).agg(F.count(F.lit(1)).alias("rows"))
     return spine.join(counted, "hour", "left").select("hour", F.coalesce("rows", F.lit(0)).alias("rows"))
 
@@ -400,6 +400,7 @@ def state_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed(spark: SparkSession, sf_dir: str, tables: list[str] | None, delay: str) -> DataFrame:
+    prepare_streaming(spark)
     schema = events(spark, sf_dir).schema
     # As a pattern, the path may be one file as well as a folder of files.
     stream = read_stream(spark, f"{sf_dir}/[e]vents.parquet", schema)

@@ -18,27 +18,42 @@ TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.checkpoint.compress": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+# Open hours live outside the JVM heap and are saved as changes, not as whole copies.
+STREAMING_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Put the settings that results depend on into an existing session."""
-    for key, value in REQUIRED_CONF.items():
+def _apply(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    for key, value in settings.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Put the settings that results depend on into an existing session."""
+    return _apply(spark, REQUIRED_CONF)
+
+
+def prepare_streaming(spark: SparkSession) -> SparkSession:
+    """The same for a session that starts streams; a started stream keeps its settings."""
+    return _apply(prepare(spark), STREAMING_CONF)
+
+
 def create_session(app_name: str = "airhour", master: str | None = None, **conf: str) -> SparkSession:
     """A session with this package's settings; ``master`` stays with spark-submit when None."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**TUNING_CONF, **REQUIRED_CONF, **conf}.items():
+    for key, value in {**TUNING_CONF, **STREAMING_CONF, **REQUIRED_CONF, **conf}.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
 
