@@ -7,20 +7,28 @@ from pyspark.sql import functions as F
 
 from ..catalog import ReadingTable
 from ..functions.naming import build_metric_columns
-
-
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """``df`` with its rows counted as ``rows`` by whatever action runs it."""
-    observation = Observation(name)
-    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
+from ..schema import validate_output_schema
 
 
 def counted_by_table(
     long: DataFrame, tables: list[ReadingTable], name: str = "hourly"
 ) -> tuple[DataFrame, Observation]:
-    """Hourly long rows with the total as ``rows`` and a count per table key."""
+    """Hourly long rows; the action that runs them also counts all ``rows`` and the rows of each table.
+
+    The counts sit after the last shuffle, where no recomputed task counts
+    twice. A ``fetched`` column is summed up per table and dropped, with the
+    hours that had no valid row.
+    """
     observation = Observation(name)
-    per_table = [
-        F.count_if(F.col("metrica").isin(list(build_metric_columns(t.metrics).values()))).alias(t.key) for t in tables
-    ]
-    return long.observe(observation, F.count(F.lit(1)).alias("rows"), *per_table), observation
+    kept = F.col("count_ok") > 0
+    aggregates = [F.count_if(kept).alias("rows")]
+    for table in tables:
+        metrics = list(build_metric_columns(table.metrics).values())
+        aggregates.append(F.count_if(kept & F.col("metrica").isin(metrics)).alias(table.key))
+        if "fetched" in long.columns:
+            once = F.when(F.col("metrica") == metrics[0], F.col("fetched"))
+            aggregates.append(F.coalesce(F.sum(once), F.lit(0)).alias(f"fetched.{table.key}"))
+    observed = long.observe(observation, *aggregates)
+    if "fetched" in long.columns:
+        observed = validate_output_schema(observed.where(kept))
+    return observed, observation

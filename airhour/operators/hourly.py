@@ -118,7 +118,9 @@ def _own_table(item: Readings, version: str | None, watermark_delay: str | None)
     return wide_to_long(hourly_wide(item.frame(), list(names), watermark_delay=watermark_delay), names, version)
 
 
-def _shared_base(group: list[Readings], version: str | None, watermark_delay: str | None) -> DataFrame:
+def _shared_base(
+    group: list[Readings], version: str | None, watermark_delay: str | None = None, fetched: bool = False
+) -> DataFrame:
     means = []
     counts = []
     cells = []
@@ -128,12 +130,30 @@ def _shared_base(group: list[Readings], version: str | None, watermark_delay: st
         for column, name in build_metric_columns(item.table.metrics).items():
             means.append(F.avg(F.when(valid, F.col(column))).alias(f"{key}.{column}"))
             cells.append((name, F.col(f"`{key}.{column}`"), F.col(f"`{key}.count_ok`")))
-    any_valid = reduce(Column.__or__, [is_valid(status) for status in dict.fromkeys(i.status for i in group)])
-    hourly = _by_hour(group[0].rows.where(any_valid), "time", "location", watermark_delay).agg(*counts, *means)
+    rows = group[0].rows
+    if fetched:
+        counts.append(F.count(F.lit(1)).alias("fetched"))
+    else:
+        statuses = dict.fromkeys(item.status for item in group)
+        rows = rows.where(reduce(Column.__or__, [is_valid(status) for status in statuses]))
+    hourly = _by_hour(rows, "time", "location", watermark_delay).agg(*counts, *means)
     long = hourly.select(
-        _start_of_hour(watermark_delay), "location", _cells(cells), F.lit(version).cast("string").alias("version")
+        _start_of_hour(watermark_delay),
+        "location",
+        _cells(cells),
+        F.lit(version).cast("string").alias("version"),
+        *(["fetched"] if fetched else []),
     )
-    return validate_output_schema(long.where(F.col("count_ok") > 0))
+    return long if fetched else validate_output_schema(long.where(F.col("count_ok") > 0))
+
+
+def hourly_long_fetched(readings: list[Readings], version: str | None = None) -> DataFrame:
+    """Like ``hourly_long``, with the column ``fetched``: rows of any status in the hour and location.
+
+    Hours without valid rows are kept, with ``count_ok`` 0, so the counts add up
+    to what was read. The status filter cannot reach the scan here.
+    """
+    return reduce(DataFrame.unionByName, [_shared_base(group, version, fetched=True) for group in by_base(readings)])
 
 
 def naive_timestamps(df: DataFrame) -> DataFrame:

@@ -82,9 +82,9 @@ def table_quality(readings: list[Readings], keys: dict[str, Column] | None = Non
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """``column, null_count, total_rows`` for every column."""
+    """``column_name, null_count, total_rows`` for every column."""
     counts = df.agg(F.count(F.lit(1)).alias("total_rows"), *[_null_count(f"`{c}`").alias(c) for c in df.columns])
-    cells = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("null_count")) for c in df.columns]
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("null_count")) for c in df.columns]
     return counts.select(F.inline(F.array(*cells)), "total_rows")
 
 

@@ -88,7 +88,7 @@ ANY_VALID = " OR ".join(f"{status} = 'k'" for status in STATUS_COLUMNS.values())
 def null_counts() -> str:
     names = ["event_id", "time", "location", *STATUS_COLUMNS.values(), *[m for _, ms in TABLES.values() for m in ms]]
     return " UNION ALL ".join(
-        f"SELECT '{n}' AS \"column\", count(*) FILTER (WHERE {n} IS NULL) AS null_count, count(*) AS total_rows "
+        f"SELECT '{n}' AS column_name, count(*) FILTER (WHERE {n} IS NULL) AS null_count, count(*) AS total_rows "
         "FROM readings"
         for n in names
     )
@@ -152,8 +152,8 @@ ORACLES: dict[str, str] = {
     ),
     "incremental_hourly": incremental(f", span AS (SELECT * FROM readings WHERE {IN_INCREMENT}) {hourly(source='span')}"),
     "row_counts": readings(
-        "SELECT metrica, count(*) AS hourly_rows, CAST(sum(count_ok) AS BIGINT) AS valid_readings "
-        f"FROM ({hourly()}) GROUP BY metrica"
+        "SELECT metrica, (SELECT count(*) FROM readings) AS fetched, count(*) AS hourly_rows, "
+        f"CAST(sum(count_ok) AS BIGINT) AS valid_readings FROM ({hourly()}) GROUP BY metrica"
     ),
     "hour_spine": f"""
         SELECT h.hour, count(ts) AS rows

@@ -23,7 +23,7 @@ from ..functions.time import (
     truncate_to_hour,
 )
 from ..operators.coverage import coverage_gaps, coverage_present, missing_hours
-from ..operators.hourly import hourly_long, hourly_wide, naive_timestamps
+from ..operators.hourly import hourly_long, hourly_long_fetched, hourly_wide, naive_timestamps
 from ..operators.quality import (
     null_profile,
     quality_score,
@@ -215,11 +215,12 @@ def incremental_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly rows per metric and the valid readings in them."""
-    return (
-        hourly(spark, sf_dir)
-        .groupBy("metrica")
-        .agg(F.count(F.lit(1)).alias("hourly_rows"), F.sum("count_ok").alias("valid_readings"))
+    """Per metric: readings fetched, valid readings, and hourly rows."""
+    counted = hourly_long_fetched(event_source(spark, sf_dir).readings(), VERSION)
+    return counted.groupBy("metrica").agg(
+        F.sum("fetched").alias("fetched"),
+        F.sum("count_ok").alias("valid_readings"),
+        F.count_if(F.col("count_ok") > 0).alias("hourly_rows"),
     )
 
 

@@ -9,9 +9,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.time import TimeLike, get_current_hour_start, get_previous_hour_start
-from ..operators.counts import counted, counted_by_table
+from ..operators.counts import counted_by_table
 from ..operators.coverage import coverage_gaps, find_missing_hours, preview
-from ..operators.hourly import hourly_long
+from ..operators.hourly import hourly_long, hourly_long_fetched
 from ..session import ensure_checkpoint_dir
 from ..sinks.tables import Sink, export
 from ..sources.ranges import backfill_range, incremental_range, time_range
@@ -38,24 +38,17 @@ def _execute(
     readings: list[Readings], version: str | None, sinks: list[Sink], count_fetched: bool = False
 ) -> RunResult:
     """One job computes the rows and all counts; the sinks read its output."""
-    observed = {}
-    if count_fetched:
-        # Counts every row in range, so the status filter is not pushed into the scan.
-        tracked: dict[int, DataFrame] = {}
-        for item in readings:
-            if id(item.rows) not in tracked:
-                tracked[id(item.rows)], observed[id(item.rows)] = counted(item.rows, f"fetched_{item.table.key}")
-        sources = {item.table.key: observed[id(item.rows)] for item in readings}
-        readings = [Readings(item.table, tracked[id(item.rows)], item.status) for item in readings]
-    long, counts = counted_by_table(hourly_long(readings, version), [item.table for item in readings])
+    tables = [item.table for item in readings]
+    hourly = hourly_long_fetched(readings, version) if count_fetched else hourly_long(readings, version)
+    long, observation = counted_by_table(hourly, tables)
     ensure_checkpoint_dir(long.sparkSession)
     result = long.checkpoint()
-    numbers = dict(counts.get)
-    rows = numbers.pop("rows")
-    fetched = {key: observation.get["rows"] for key, observation in sources.items()} if count_fetched else {}
-    written = export(result, sinks, rows)
-    logger.info("%d hourly rows, by table %s, written to %s", rows, numbers, written)
-    return RunResult(result, rows, numbers, fetched, written)
+    counts = observation.get
+    by_table = {table.key: counts[table.key] for table in tables}
+    fetched = {table.key: counts[f"fetched.{table.key}"] for table in tables} if count_fetched else {}
+    written = export(result, sinks, counts["rows"])
+    logger.info("%d hourly rows, by table %s, written to %s", counts["rows"], by_table, written)
+    return RunResult(result, counts["rows"], by_table, fetched, written)
 
 
 def run_incremental(

@@ -105,7 +105,7 @@ def test_status_report(frame):
 
 def test_null_profile(frame):
     rows = frame([(T, "a", "k", None), (T, None, "k", None)])
-    got = {r["column"]: (r["null_count"], r["total_rows"]) for r in null_profile(rows).collect()}
+    got = {r["column_name"]: (r["null_count"], r["total_rows"]) for r in null_profile(rows).collect()}
     assert got == {"time": (0, 2), "location": (1, 2), "status": (0, 2), "co_mean": (2, 2)}
 
 
