@@ -53,21 +53,25 @@ def hourly_wide(
     return wide.select(_start_of_hour(watermark_delay), "location", *metrics, "count_ok")
 
 
-def _cells(cells: list[tuple[str, Column, Column]]) -> Column:
-    """Generator of one (metrica, valor, count_ok) row per cell; cells with a null value stay."""
-    return F.inline(
-        F.array(
-            *[
-                F.struct(F.lit(name).alias("metrica"), value.cast("double").alias("valor"), count.alias("count_ok"))
-                for name, value, count in cells
-            ]
-        )
-    )
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _name(column: str) -> str:
+    escaped = column.replace("`", "``")
+    return f"`{escaped}`"
+
+
+def _cells(cells: list[tuple[str, str, str]]) -> Column:
+    """One (metrica, valor, count_ok) row per cell of (name, value column, count column); null values stay."""
+    rows = [f"{_text(name)}, double({_name(value)}), {_name(count)}" for name, value, count in cells]
+    return F.expr(f"stack({len(rows)}, {', '.join(rows)})").alias("metrica", "valor", "count_ok")
 
 
 def wide_to_long(wide: DataFrame, metric_columns: dict[str, str], version: str | None = None) -> DataFrame:
     """Reshape the hourly rows; this is after the aggregate, so it touches little data."""
-    cells = [(name, F.col(column), F.col("count_ok")) for column, name in metric_columns.items()]
+    cells = [(name, column, "count_ok") for column, name in metric_columns.items()]
     return validate_output_schema(
         wide.select("time", "location", _cells(cells), F.lit(version).cast("string").alias("version"))
     )
@@ -121,22 +125,25 @@ def _own_table(item: Readings, version: str | None, watermark_delay: str | None)
 def _shared_base(
     group: list[Readings], version: str | None, watermark_delay: str | None = None, fetched: bool = False
 ) -> DataFrame:
-    means = []
-    counts = []
+    flags = {}
+    aggregates = []
     cells = []
     for item in group:
-        key, valid = item.table.key, is_valid(item.status)
-        counts.append(F.count_if(valid).alias(f"{key}.count_ok"))
+        key = item.table.key
+        valid = f"{key}.valid"
+        # A flag per row, so that the status text is compared once and not once per metric.
+        flags[valid] = F.coalesce(is_valid(item.status), F.lit(False))
+        aggregates.append(F.expr(f"count_if({_name(valid)})").alias(f"{key}.count_ok"))
         for column, name in build_metric_columns(item.table.metrics).items():
-            means.append(F.avg(F.when(valid, F.col(column))).alias(f"{key}.{column}"))
-            cells.append((name, F.col(f"`{key}.{column}`"), F.col(f"`{key}.count_ok`")))
-    rows = group[0].rows
+            aggregates.append(F.expr(f"avg({_name(column)}) FILTER (WHERE {_name(valid)})").alias(f"{key}.{column}"))
+            cells.append((name, f"{key}.{column}", f"{key}.count_ok"))
+    metrics = dict.fromkeys(metric for item in group for metric in item.table.metrics)
+    rows = group[0].rows.select("time", "location", *metrics, *[flag.alias(name) for name, flag in flags.items()])
     if fetched:
-        counts.append(F.count(F.lit(1)).alias("fetched"))
+        aggregates.append(F.count(F.lit(1)).alias("fetched"))
     else:
-        statuses = dict.fromkeys(item.status for item in group)
-        rows = rows.where(reduce(Column.__or__, [is_valid(status) for status in statuses]))
-    hourly = _by_hour(rows, "time", "location", watermark_delay).agg(*counts, *means)
+        rows = rows.where(" OR ".join(_name(flag) for flag in flags))
+    hourly = _by_hour(rows, "time", "location", watermark_delay).agg(*aggregates)
     long = hourly.select(
         _start_of_hour(watermark_delay),
         "location",

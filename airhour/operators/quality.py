@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,7 +142,7 @@ def _range_rows(df: DataFrame, checks: list[tuple[str, str, float, float]]) -> D
     return df.agg(*aggregates).select(F.inline(F.array(*cells))).where(F.col("rows_checked") > 0)
 
 
-def _checks(pollutant: str, columns: list[str]) -> list[tuple[str, str, float, float]]:
+def _checks(pollutant: str | None, columns: list[str]) -> list[tuple[str, str, float, float]]:
     ranges = METRIC_RANGES.get(pollutant, {})
     return [(pollutant, metric, low, high) for metric, (low, high) in ranges.items() if metric in columns]
 
@@ -166,19 +166,19 @@ def table_range_report(readings: list[Readings]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _profile(df: DataFrame, checks: list[tuple[str, str, float, float]]) -> Row:
-    """All numbers the gate needs, in one row."""
-    aggregates = [F.count(F.lit(1)).alias("rows")]
+def validation_profile(df: DataFrame, pollutant: str | None = None) -> DataFrame:
+    """The numbers that the gate judges by, in one row: counts, and least and greatest value per bounded metric."""
+    aggregates = [F.count(F.lit(1)).alias("total_rows")]
     if "time" in df.columns:
         aggregates.append(_null_count("time").alias("time_nulls"))
     if "status" in df.columns:
         aggregates.append(_null_count("status").alias("status_nulls"))
         aggregates.append(F.count_if(~F.col("status").isin(STATUS_DOMAIN)).alias("status_unknown"))
-    for _, metric, low, high in checks:
+    for _, metric, _, _ in _checks(pollutant, df.columns):
         number = F.when(~F.isnan(metric), F.col(metric))
-        aggregates.append(F.min(number).alias(f"{metric}.min"))
-        aggregates.append(F.max(number).alias(f"{metric}.max"))
-    return df.agg(*aggregates).first()
+        aggregates.append(F.min(number).alias(f"{metric}_min"))
+        aggregates.append(F.max(number).alias(f"{metric}_max"))
+    return df.agg(*aggregates)
 
 
 def validate_dataframe(
@@ -194,9 +194,8 @@ def validate_dataframe(
     """
     if not df.columns:
         raise DataValidationError("DataFrame is empty")
-    checks = _checks(pollutant_type, df.columns) if pollutant_type else []
-    profile = _profile(df, checks)
-    if profile["rows"] == 0:
+    profile = validation_profile(df, pollutant_type).first()
+    if profile["total_rows"] == 0:
         raise DataValidationError("DataFrame is empty")
     missing = [c for c in (required_columns or REQUIRED_INPUT_COLUMNS) if c not in df.columns]
     if missing:
@@ -216,8 +215,8 @@ def validate_dataframe(
                 profile["status_unknown"],
                 STATUS_DOMAIN,
             )
-    for pollutant, metric, low, high in checks:
-        least, most = profile[f"{metric}.min"], profile[f"{metric}.max"]
+    for pollutant, metric, low, high in _checks(pollutant_type, df.columns):
+        least, most = profile[f"{metric}_min"], profile[f"{metric}_max"]
         if least is not None and (least < low or most > high):
             logger.warning("%s.%s lies in [%s, %s], expected [%s, %s]", pollutant, metric, least, most, low, high)
     return True

@@ -11,6 +11,7 @@ from .registry import (
     ONE_HOUR,
     RANGE_END,
     RANGE_START,
+    RUN_START,
     STREAM_DELAY,
     VERSION,
 )
@@ -181,6 +182,12 @@ ORACLES: dict[str, str] = {
     ),
     "range_checks": readings(range_checks()),
     "null_counts": readings(null_counts()),
+    "gate_profile_co": readings(
+        "SELECT count(*) AS total_rows, count(*) FILTER (WHERE time IS NULL) AS time_nulls, "
+        "count(*) FILTER (WHERE co_status IS NULL) AS status_nulls, "
+        f"count(*) FILTER (WHERE co_status NOT IN {DOMAIN}) AS status_unknown, "
+        "min(co_mean) AS co_mean_min, max(co_mean) AS co_mean_max FROM readings"
+    ),
     "quality_scores": readings(
         " UNION ALL ".join(
             f"SELECT count(*) AS rows, '{key}' AS pollutant, {score(key)} AS quality_score FROM readings"
@@ -215,6 +222,18 @@ ORACLES: dict[str, str] = {
     "state_metadata": states("""
         SELECT pipeline, updated_at, version AS pipeline_version, version AS origin, props AS last_execution,
           'never' AS last_backfill, CAST(3 AS BIGINT) AS entries FROM log"""),
+    "incremental_runs_readback": readings(
+        hourly(f"time >= {moment(RUN_START)} + INTERVAL 1 HOUR AND time < {RUNNING_HOUR}")
+    ),
+    "backfill_readback": readings(
+        hourly(f"time >= {moment(RUN_START)} AND time < {moment(COVERAGE_END)}", ["co", "meteo"])
+    ),
+    "catch_up_state": readings(f"""
+        , written AS ({hourly(f"time >= {moment(RUN_START)} + INTERVAL 1 HOUR AND time < {RUNNING_HOUR}", ["so2"])})
+        SELECT 'hourly' AS pipeline, {RUNNING_HOUR} - INTERVAL 1 HOUR AS last_processed_hour,
+          '{VERSION}' AS version, true AS stamped, count(*) AS rows,
+          min(time) AS first_hour, max(time) AS last_hour
+        FROM written"""),
     "stream_hourly_closed": readings(closed_hours(None, ANY_VALID, "0 HOUR")),
     "stream_hourly_delayed": readings(closed_hours(["co"], "co_status = 'k'", STREAM_DELAY.replace("hours", "HOUR"))),
 }

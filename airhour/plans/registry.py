@@ -30,6 +30,7 @@ from ..operators.quality import (
     table_quality,
     table_range_report,
     table_status_report,
+    validation_profile,
 )
 from ..schema import OUTPUT_COLUMNS, validate_output_schema
 from ..session import prepare, prepare_streaming, scratch_path
@@ -45,7 +46,8 @@ from ..sources.events import (
 from ..sources.ranges import backfill_range, incremental_range
 from ..sources.readings import ReadingSource
 from ..streaming.hourly import read_hours, read_stream, start_hourly_stream, stream_hourly_long
-from .state import latest_state, merge_metadata, metadata_value, next_hour
+from .runs import backfill_from_state, run_backfill, run_incremental
+from .state import StateLog, latest_entry, latest_state, merge_metadata, metadata_value, next_hour
 
 # The version tag and the ranges that the queries use.
 VERSION = "v1.0.0"
@@ -55,6 +57,7 @@ ONE_HOUR = "2024-01-12T18:00:00Z"
 COVERAGE_START = "2024-01-01T00:00:00Z"
 COVERAGE_END = "2024-02-01T00:00:00Z"
 STREAM_DELAY = "3 hours"
+RUN_START = "2023-12-31T22:00:00Z"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -286,6 +289,12 @@ def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_profile(wide_readings(spark, events(spark, sf_dir)))
 
 
+@register
+def gate_profile_co(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the validation gate judges by."""
+    return validation_profile(event_source(spark, sf_dir).fetch_table("co"), "co")
+
+
 @register
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One score per table."""
@@ -397,6 +406,58 @@ def state_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Runs: each query works on a state log and a target of its own
+
+
+def run_target(spark: SparkSession) -> tuple[StateLog, HourPartitionSink]:
+    path = scratch_path(spark, "run")
+    return StateLog(spark, f"{path}/state"), HourPartitionSink(path=f"{path}/facts", unit="hour")
+
+
+@register
+def incremental_runs_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs after one another, then a third without new hours: each hour is there once."""
+    source = event_source(spark, sf_dir)
+    state, _ = run_target(spark)
+    sink = AppendSink(path=scratch_path(spark, "facts"))
+    state.set_last_processed_hour("hourly", RUN_START)
+    now = clock(spark, sf_dir)
+    for as_of in (now - timedelta(days=2), now, now):
+        run_incremental(source, state, [sink], version=VERSION, as_of=as_of)
+    return spark.read.parquet(sink.path)
+
+
+@register
+def backfill_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping backfills into partitions that each of them replaces."""
+    source = event_source(spark, sf_dir)
+    _, sink = run_target(spark)
+    for start, end in ((RUN_START, RANGE_END), (RANGE_START, COVERAGE_END)):
+        run_backfill(source, start, end, [sink], ["co", "meteo"], VERSION)
+    return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
+
+
+@register
+def catch_up_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after a catch-up, with the hours and rows it wrote."""
+    source = event_source(spark, sf_dir)
+    state, sink = run_target(spark)
+    state.set_last_processed_hour("hourly", RUN_START, VERSION)
+    now = clock(spark, sf_dir)
+    backfill_from_state(spark, source, state, [sink], ["so2"], "hourly", VERSION, now)
+    written = spark.read.parquet(sink.path).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("time").alias("first_hour"), F.max("time").alias("last_hour")
+    )
+    latest = latest_entry(state.entries()).select(
+        F.lit(1).alias("one"),
+        "pipeline",
+        "last_processed_hour",
+        "version",
+        (ensure_utc(metadata_value(F.col("metadata"), "last_backfill")) == ensure_utc(now)).alias("stamped"),
+    )
+    return latest.join(written.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 # Streaming
 
 

@@ -19,6 +19,8 @@ TUNING_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.checkpoint.compress": "true",
+    # Plans here have many columns; noting the Python line of each one costs more than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

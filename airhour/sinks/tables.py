@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.hourly import naive_timestamps
@@ -41,12 +41,14 @@ class AppendSink(Sink):
     """Append to a warehouse table or a path, in any format Spark writes.
 
     A run that is repeated adds its rows again; HourPartitionSink does not.
+    ``verify`` counts the target's rows after the load and logs the number.
     """
 
     path: str | None = None
     table: str | None = None
     fmt: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
+    verify: bool = False
     name: str = "append"
 
     @property
@@ -61,10 +63,11 @@ class AppendSink(Sink):
             writer.saveAsTable(self.table)
         else:
             writer.save(self.path)
+        if self.verify:
+            logger.info("%s holds %d rows now", self.table or self.path, self.row_count(df.sparkSession))
 
-    def row_count(self, df: DataFrame) -> int:
+    def row_count(self, spark: SparkSession) -> int:
         """Rows the target holds now."""
-        spark = df.sparkSession
         if self.table:
             return spark.table(self.table).count()
         return spark.read.format(self.fmt).options(**self.options).load(self.path).count()

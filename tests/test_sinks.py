@@ -30,20 +30,21 @@ TEN = ("2024-01-01T10:00:00Z", "a", "co", 1.25, 4, "v1")
 ELEVEN = ("2024-01-01T11:00:00Z", "a", "co", None, 2, None)
 
 
-def test_append_adds_rows_and_counts_them(spark, facts, tmp_path):
-    sink = AppendSink(path=str(tmp_path / "t"))
+def test_append_adds_rows_and_counts_them(spark, facts, tmp_path, caplog):
+    sink = AppendSink(path=str(tmp_path / "t"), verify=True)
     df = facts(TEN, ELEVEN)
-    assert export(df, [sink]) == ["append"] and sink.row_count(df) == 2
-    export(df, [sink])
-    assert sink.row_count(df) == 4
+    with caplog.at_level(logging.INFO):
+        assert export(df, [sink]) == ["append"] and sink.row_count(spark) == 2
+        export(df, [sink])
+    assert sink.row_count(spark) == 4 and "holds 4 rows now" in caplog.text
     assert spark.read.parquet(sink.path).columns == OUTPUT_COLUMNS
 
 
-def test_append_to_a_table_and_other_formats(spark, facts, tmp_path):
+def test_append_to_a_table_and_another_format(spark, facts, tmp_path):
     table = AppendSink(table="facts_append")
     orc = AppendSink(path=str(tmp_path / "o"), fmt="orc")
     assert export(facts(TEN), [table, orc]) == ["append", "append"]
-    assert table.row_count(facts(TEN)) == orc.row_count(facts(TEN)) == 1
+    assert table.row_count(spark) == orc.row_count(spark) == 1
     assert spark.table("facts_append").schema["time"].dataType == OUTPUT_SCHEMA["time"].dataType
 
 
