@@ -48,11 +48,11 @@ def columns(key: str) -> str:
     return ", ".join(["time", "location", *TABLES[key][1], f"{STATUS_COLUMNS[key]} AS status"])
 
 
-def hourly(where: str = "true", keys: list[str] | None = None, source: str = "readings") -> str:
+def hourly(where: str = "true", keys: list[str] | None = None) -> str:
     return " UNION ALL ".join(
         f"""SELECT date_trunc('hour', time) AS time, location, '{name}' AS metrica, avg({column}) AS valor,
             count(*) AS count_ok, '{VERSION}' AS version
-            FROM {source} WHERE {STATUS_COLUMNS[key]} = 'k' AND {where} GROUP BY 1, 2"""
+            FROM readings WHERE {STATUS_COLUMNS[key]} = 'k' AND {where} GROUP BY 1, 2"""
         for key in (keys or TABLES)
         for column, name in build_metric_columns(TABLES[key][1]).items()
     )
@@ -117,6 +117,9 @@ def incremental(query: str) -> str:
 
 
 IN_INCREMENT = f"time >= {LAST_PROCESSED} + INTERVAL 1 HOUR AND time < {RUNNING_HOUR}"
+# Bounds on whole hours are put on the hourly rows: in a filter below the means, a
+# subquery lets threads add up readings in varying order.
+SINCE_START = f"time >= {moment(RUN_START)} + INTERVAL 1 HOUR AND time < {RUNNING_HOUR}"
 REPLACED_DAYS = "time >= TIMESTAMP '2024-01-05' AND time < TIMESTAMP '2024-01-07'"
 
 ORACLES: dict[str, str] = {
@@ -151,7 +154,7 @@ ORACLES: dict[str, str] = {
     "backfill_two_weeks": readings(
         hourly(f"time >= {hour_of(RANGE_START)} AND time < {hour_of(RANGE_END)}", ["co", "nox"])
     ),
-    "incremental_hourly": incremental(f", span AS (SELECT * FROM readings WHERE {IN_INCREMENT}) {hourly(source='span')}"),
+    "incremental_hourly": incremental(f"SELECT * FROM ({hourly()}) WHERE {IN_INCREMENT}"),
     "row_counts": readings(
         "SELECT metrica, (SELECT count(*) FROM readings) AS fetched, count(*) AS hourly_rows, "
         f"CAST(sum(count_ok) AS BIGINT) AS valid_readings FROM ({hourly()}) GROUP BY metrica"
@@ -222,14 +225,12 @@ ORACLES: dict[str, str] = {
     "state_metadata": states("""
         SELECT pipeline, updated_at, version AS pipeline_version, version AS origin, props AS last_execution,
           'never' AS last_backfill, CAST(3 AS BIGINT) AS entries FROM log"""),
-    "incremental_runs_readback": readings(
-        hourly(f"time >= {moment(RUN_START)} + INTERVAL 1 HOUR AND time < {RUNNING_HOUR}")
-    ),
+    "incremental_runs_readback": readings(f"SELECT * FROM ({hourly()}) WHERE {SINCE_START}"),
     "backfill_readback": readings(
         hourly(f"time >= {moment(RUN_START)} AND time < {moment(COVERAGE_END)}", ["co", "meteo"])
     ),
     "catch_up_state": readings(f"""
-        , written AS ({hourly(f"time >= {moment(RUN_START)} + INTERVAL 1 HOUR AND time < {RUNNING_HOUR}", ["so2"])})
+        , written AS (SELECT * FROM ({hourly(keys=["so2"])}) WHERE {SINCE_START})
         SELECT 'hourly' AS pipeline, {RUNNING_HOUR} - INTERVAL 1 HOUR AS last_processed_hour,
           '{VERSION}' AS version, true AS stamped, count(*) AS rows,
           min(time) AS first_hour, max(time) AS last_hour
