@@ -227,7 +227,7 @@ ORACLES: dict[str, str] = {
           'never' AS last_backfill, CAST(3 AS BIGINT) AS entries FROM log"""),
     "incremental_runs_readback": readings(f"SELECT * FROM ({hourly()}) WHERE {SINCE_START}"),
     "backfill_readback": readings(
-        hourly(f"time >= {moment(RUN_START)} AND time < {moment(COVERAGE_END)}", ["co", "meteo"])
+        hourly(f"time >= {moment(COVERAGE_START)} AND time < {moment(COVERAGE_END)}", ["co", "meteo"])
     ),
     "catch_up_state": readings(f"""
         , written AS (SELECT * FROM ({hourly(keys=["so2"])}) WHERE {SINCE_START})

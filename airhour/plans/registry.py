@@ -411,7 +411,7 @@ def state_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_target(spark: SparkSession) -> tuple[StateLog, HourPartitionSink]:
     path = scratch_path(spark, "run")
-    return StateLog(spark, f"{path}/state"), HourPartitionSink(path=f"{path}/facts", unit="hour")
+    return StateLog(spark, f"{path}/state"), HourPartitionSink(path=f"{path}/facts", unit="day")
 
 
 @register
@@ -429,10 +429,10 @@ def incremental_runs_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def backfill_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping backfills into partitions that each of them replaces."""
+    """Two overlapping backfills of whole days; the second replaces the days they share."""
     source = event_source(spark, sf_dir)
     _, sink = run_target(spark)
-    for start, end in ((RUN_START, RANGE_END), (RANGE_START, COVERAGE_END)):
+    for start, end in ((COVERAGE_START, "2024-01-19T00:00:00Z"), ("2024-01-05T00:00:00Z", COVERAGE_END)):
         run_backfill(source, start, end, [sink], ["co", "meteo"], VERSION)
     return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,20 +69,17 @@ def _moment(micros: int | None) -> datetime | None:
 
 
 class StateLog:
-    """State log in a folder that the cluster shares, one sub-folder per pipeline."""
+    """State log in a folder that the cluster shares, one sub-folder per pipeline; created when absent."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        empty = spark.createDataFrame([], STATE_SCHEMA)
+        empty.write.mode("ignore").partitionBy("pipeline").parquet(path)
 
     def entries(self) -> DataFrame:
         """The whole log; empty before the first entry."""
-        try:
-            return self.spark.read.schema(STATE_SCHEMA).parquet(self.path).select(*STATE_SCHEMA.fieldNames())
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], STATE_SCHEMA)
+        return self.spark.read.schema(STATE_SCHEMA).parquet(self.path).select(*STATE_SCHEMA.fieldNames())
 
     def load(self, pipeline: str) -> State:
         """The current state, fresh when the pipeline has no entry."""
