@@ -7,30 +7,32 @@ from pyspark.sql import DataFrame, SparkSession
 from .readings import ReadingSource
 
 # One wide base for all six tables, as text that Spark and DuckDB both run. Every
-# event is a reading of every table; each table has its own status column.
+# event is a reading of every table; each table has its own status column. Readings
+# are in steps of 1/64: their sums are exact, so means do not depend on the order
+# in which tasks add up, and results of any two engines can be compared bit by bit.
 READINGS_SQL = """
 SELECT event_id, ts AS time,
  CASE user_id % 5 WHEN 0 THEN 'Centro' WHEN 1 THEN 'Norte' WHEN 2 THEN 'Sur'
                   WHEN 3 THEN 'Este' ELSE 'Oeste' END AS location,
- CASE WHEN value > 300 THEN 'x' WHEN value < 1 THEN 'm' WHEN event_type = 'signup' THEN 'v'
+ CASE WHEN reading > 300 THEN 'x' WHEN reading < 1 THEN 'm' WHEN event_type = 'signup' THEN 'v'
       WHEN event_type = 'error' THEN 's' ELSE 'k' END AS co_status,
- CASE WHEN value > 300 THEN 'x' WHEN value < 1 THEN 'm' WHEN event_type = 'view' THEN 'v'
+ CASE WHEN reading > 300 THEN 'x' WHEN reading < 1 THEN 'm' WHEN event_type = 'view' THEN 'v'
       WHEN event_type = 'error' THEN 's' ELSE 'k' END AS nox_status,
- CASE WHEN value > 300 THEN 'x' WHEN value < 1 THEN 'm' WHEN event_type = 'click' THEN 'v'
+ CASE WHEN reading > 300 THEN 'x' WHEN reading < 1 THEN 'm' WHEN event_type = 'click' THEN 'v'
       WHEN event_type = 'error' THEN 's' ELSE 'k' END AS pm10_status,
- CASE WHEN value > 300 THEN 'x' WHEN value < 1 THEN 'm' WHEN event_type = 'purchase' THEN 'v'
+ CASE WHEN reading > 300 THEN 'x' WHEN reading < 1 THEN 'm' WHEN event_type = 'purchase' THEN 'v'
       WHEN event_type = 'error' THEN 's' ELSE 'k' END AS so2_status,
- CASE WHEN value > 300 THEN 'x' WHEN value < 1 THEN 'm' WHEN event_type = 'signup' THEN 'v'
+ CASE WHEN reading > 300 THEN 'x' WHEN reading < 1 THEN 'm' WHEN event_type = 'signup' THEN 'v'
       WHEN event_type = 'view' THEN 's' ELSE 'k' END AS o3_status,
- CASE WHEN value < 1 THEN 'm' WHEN event_type = 'error' THEN 's' ELSE 'k' END AS meteo_status,
- CASE WHEN value >= 4 THEN value END AS co_mean,
- value AS no_mean, value * 0.5 AS no2_mean, value * 1.5 AS nox_mean,
- value * 2.0 AS pm10_mean, value * 0.25 AS so2_mean,
- CASE WHEN event_type <> 'click' THEN value * 0.75 END AS o3_mean,
- value * 0.125 AS dv_mean, value * 0.0625 AS vv_mean, value - 20.0 AS temp_mean,
- value * 0.375 AS hr_mean, value + 700.0 AS pa_mean, value * 0.03125 AS uv_mean,
- value * 0.015625 AS lluvia_mean, value * 4.0 AS rs_mean
-FROM {events}
+ CASE WHEN reading < 1 THEN 'm' WHEN event_type = 'error' THEN 's' ELSE 'k' END AS meteo_status,
+ CASE WHEN reading >= 4 THEN reading END AS co_mean,
+ reading AS no_mean, reading * 0.5 AS no2_mean, reading * 1.5 AS nox_mean,
+ reading * 2.0 AS pm10_mean, reading * 0.25 AS so2_mean,
+ CASE WHEN event_type <> 'click' THEN reading * 0.75 END AS o3_mean,
+ reading * 0.125 AS dv_mean, reading * 0.0625 AS vv_mean, reading - 20.0 AS temp_mean,
+ reading * 0.375 AS hr_mean, reading + 700.0 AS pa_mean, reading * 0.03125 AS uv_mean,
+ reading * 0.015625 AS lluvia_mean, reading * 4.0 AS rs_mean
+FROM (SELECT *, floor(value * 64) / 64 AS reading FROM {events})
 """
 
 STATUS_COLUMNS = {
