@@ -141,7 +141,9 @@ def _shared_base(
     rows = group[0].rows.select("time", "location", *metrics, *[flag.alias(name) for name, flag in flags.items()])
     if fetched:
         aggregates.append(F.count(F.lit(1)).alias("fetched"))
-    else:
+    if watermark_delay is not None:
+        # Only valid rows move the watermark. A batch needs no such filter: few rows are
+        # invalid for every table, and testing all flags beforehand costs more than it saves.
         rows = rows.where(" OR ".join(_name(flag) for flag in flags))
     hourly = _by_hour(rows, "time", "location", watermark_delay).agg(*aggregates)
     long = hourly.select(

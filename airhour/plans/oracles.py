@@ -229,12 +229,10 @@ ORACLES: dict[str, str] = {
     "backfill_readback": readings(
         hourly(f"time >= {moment(COVERAGE_START)} AND time < {moment(COVERAGE_END)}", ["co", "meteo"])
     ),
-    "catch_up_state": readings(f"""
-        , written AS (SELECT * FROM ({hourly(keys=["so2"])}) WHERE {SINCE_START})
+    "catch_up_state": f"""
         SELECT 'hourly' AS pipeline, {RUNNING_HOUR} - INTERVAL 1 HOUR AS last_processed_hour,
-          '{VERSION}' AS version, true AS stamped, count(*) AS rows,
-          min(time) AS first_hour, max(time) AS last_hour
-        FROM written"""),
+          '{VERSION}' AS version, {CLOCK} AS last_backfill""",
+    "catch_up_readback": readings(f"SELECT * FROM ({hourly(keys=['so2'])}) WHERE {SINCE_START}"),
     "stream_hourly_closed": readings(closed_hours(None, ANY_VALID, "0 HOUR")),
     "stream_hourly_delayed": readings(closed_hours(["co"], "co_status = 'k'", STREAM_DELAY.replace("hours", "HOUR"))),
 }

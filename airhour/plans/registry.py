@@ -437,25 +437,27 @@ def backfill_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
 
 
-@register
-def catch_up_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The state after a catch-up, with the hours and rows it wrote."""
+def catch_up(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The state entry and the facts after a catch-up of one table."""
     source = event_source(spark, sf_dir)
     state, sink = run_target(spark)
     state.set_last_processed_hour("hourly", RUN_START, VERSION)
-    now = clock(spark, sf_dir)
-    backfill_from_state(spark, source, state, [sink], ["so2"], "hourly", VERSION, now)
-    written = spark.read.parquet(sink.path).agg(
-        F.count(F.lit(1)).alias("rows"), F.min("time").alias("first_hour"), F.max("time").alias("last_hour")
-    )
-    latest = latest_entry(state.entries()).select(
-        F.lit(1).alias("one"),
-        "pipeline",
-        "last_processed_hour",
-        "version",
-        (ensure_utc(metadata_value(F.col("metadata"), "last_backfill")) == ensure_utc(now)).alias("stamped"),
-    )
-    return latest.join(written.withColumn("one", F.lit(1)), "one").drop("one")
+    backfill_from_state(spark, source, state, [sink], ["so2"], "hourly", VERSION, clock(spark, sf_dir))
+    return latest_entry(state.entries()), spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
+
+
+@register
+def catch_up_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after a catch-up; the metadata names the moment of it."""
+    entry, _ = catch_up(spark, sf_dir)
+    backfilled = ensure_utc(metadata_value(F.col("metadata"), "last_backfill"))
+    return entry.select("pipeline", "last_processed_hour", "version", backfilled.alias("last_backfill"))
+
+
+@register
+def catch_up_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours that a catch-up wrote."""
+    return catch_up(spark, sf_dir)[1]
 
 
 # Streaming
