@@ -61,18 +61,18 @@ def create_session(app_name: str = "airhour", master: str | None = None, **conf:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Only a local session may go without it and gets a temporary folder.
+    Only a local session may go without both and gets a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="airhour-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="airhour-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -82,5 +82,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make reliable ``checkpoint()`` usable, in the shared folder."""
+    folder = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        spark.sparkContext.setCheckpointDir(folder)
