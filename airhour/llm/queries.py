@@ -6,21 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airhour.llm import bpe, language_id, mixing, simhash, suffix_dedup, token_files
+from airhour.llm import (
+    bpe,
+    chunk_fingerprints,
+    language_id,
+    mixing,
+    nearest,
+    quality,
+    simhash,
+    suffix_dedup,
+    token_files,
+    toxicity,
+)
 from airhour.llm.common import table
 
 
-def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: operator(table(spark, sf_dir, name))
+def _over(operator: Callable[..., DataFrame], *names: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(*[table(spark, sf_dir, name) for name in names])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_token_files": _over("documents", token_files.op1),
-    "op6_suffix_dedup": _over("documents", suffix_dedup.op6),
-    "op7_simhash": _over("documents", simhash.op7),
-    "op8_mixing": _over("documents", mixing.op8),
-    "op9_bpe": _over("documents", bpe.op9),
-    "op10_language_id": _over("documents", language_id.op10),
+    "op1_token_files": _over(token_files.op1, "documents"),
+    "op2_toxicity": _over(toxicity.op2, "documents", "labels"),
+    "op3_chunk_fingerprints": _over(chunk_fingerprints.op3, "documents"),
+    "op4_quality": _over(quality.op4, "documents", "labels"),
+    "op5_nearest": _over(nearest.op5, "embeddings"),
+    "op6_suffix_dedup": _over(suffix_dedup.op6, "documents"),
+    "op7_simhash": _over(simhash.op7, "documents"),
+    "op8_mixing": _over(mixing.op8, "documents"),
+    "op9_bpe": _over(bpe.op9, "documents"),
+    "op10_language_id": _over(language_id.op10, "documents"),
 }
 
-ORACLES: dict[str, str] = {"op8_mixing": mixing.OP8_SQL}
+ORACLES: dict[str, str] = {"op5_nearest": nearest.OP5_SQL, "op8_mixing": mixing.OP8_SQL}
