@@ -148,25 +148,31 @@ class Vocabulary:
                     while len(levels) < n:
                         levels.append([])
                     levels[n - 1].append((at[token[: n - 1]], token[n - 1], at[token[:n]]))
-        self.step = np.zeros((len(at), 256), dtype=np.int32)
+        parent = np.concatenate([[e[0] for e in edges] for edges in levels])
+        inner = np.unique(parent)  # a state without longer prefixes steps as the state of its longest suffix does
+        row = np.zeros(len(at), dtype=np.int32)
+        row[inner] = np.arange(len(inner))
+        is_inner = np.zeros(len(at), dtype=bool)
+        is_inner[inner] = True
+        step = np.zeros((len(inner), 256), dtype=np.int32)
         back = np.zeros(len(at), dtype=np.int32)
         self.token_at = np.full(len(at), -1, dtype=np.int32)
         for i in self.tokens:
             self.token_at[at[self.bytes_of[i]]] = i
         self.longest = np.zeros(len(at), dtype=np.int32)  # the state of the longest token that ends here
         self.shorter = np.zeros(len(at), dtype=np.int32)  # the state of the next one
-        parents, letters, children = np.array(levels[0]).T
-        self.step[0, letters] = children
         for level, edges in enumerate(levels):
             parents, letters, children = np.array(edges).T
             if level:
-                back[children] = self.step[back[parents], letters]
+                back[children] = step[row[back[parents]], letters]
+            step[row[parents], letters] = children
             self.shorter[children] = self.longest[back[children]]
             self.longest[children] = np.where(self.token_at[children] >= 0, children, self.shorter[children])
-            self.step[children] = self.step[back[children]]
-            if level + 1 < len(levels):
-                parents, letters, below = np.array(levels[level + 1]).T
-                self.step[parents, letters] = below
+            own = is_inner[children]
+            row[children[~own]] = row[back[children[~own]]]
+            step[row[children[own]]] = step[row[back[children[own]]]]
+        self.step, self.row = step, row
+
         self.length = np.zeros(max(self.bytes_of) + 1, dtype=np.int32)
         for i, token in self.bytes_of.items():
             self.length[i] = len(token)
@@ -223,7 +229,7 @@ class Vocabulary:
         state = np.zeros(len(pieces), dtype=np.int32)
         for end in range(1, most + 1):
             n = int(np.searchsorted(-sizes, -end, side="right"))
-            state = self.step[state[:n], data[:n, end - 1]]
+            state = self.step[self.row[state[:n]], data[:n, end - 1]]
             rows, match = np.arange(n), self.longest[state]
             while len(rows):
                 token = self.token_at[match]
@@ -329,13 +335,29 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     )
 
 
+def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``doc_id, ids, text`` of every row, the text decoded from the ids; both in one pass over the workers."""
+    prepare_text(docs.sparkSession)
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary(path or vocabulary_path())
+        for batch in batches:
+            texts = [(t or "").encode("utf-8", "replace") for t in column_list(batch, "text")]
+            for lo, hi in chunks(texts):
+                ids = id_lists(*known.encode(texts[lo:hi]))
+                text = pa.array(known.decode(ids), pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], ids, text], names=["doc_id", "ids", "text"])
+
+    return id_and_text(docs).mapInArrow(both, "doc_id long, ids array<int>, text string")
+
+
 def ids_digest(ids: str) -> F.Column:
     """sha256 of decimal ids joined by commas."""
     return F.sha2(F.concat_ws(",", F.col(ids).cast("array<string>")), 256)
 
 
 def op9(documents: DataFrame, path: str | None = None) -> DataFrame:
-    return decode(encode(documents, path), path).select(
+    return round_trip(documents, path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         ids_digest("ids").alias("ids_sha256"),

@@ -27,7 +27,7 @@ _NO_CUT[[0, *{c.encode()[0] for c in WHITE}]] = True
 # Units longer than this many bytes are not remembered.
 LONGEST_UNIT = 64
 # Units remembered in a Python worker; about 60 bytes each. When there are more, all are forgotten.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
