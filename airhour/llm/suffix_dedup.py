@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ LENGTH = 50
 GRAM = 24  # bytes of the strings whose hashes are compared
 UNIT_BYTES = 6 << 20
 SLICE = 1 << 20  # strings that are looked at together
+BUCKETS = 6  # suffix buckets for each partition of a shuffle
 CROWDED = 1000  # documents that share an anchor from which on its strings go by themselves
 _BASE = 0x9E3779B97F4A7C15
 
@@ -177,16 +179,16 @@ def _repeated_anchors(crowded: int):
     return work
 
 
-# Runs of strings in their suffix bucket: bytes, least document, strings, where the anchor stands; and the
-# places (run, document of the unit, position) that have them. Places alone, without bytes, are removed already.
-RUNS = (
-    "bucket int, unit int, data binary, size array<int>, doc array<long>, strings array<int>, anchor array<int>, "
-    "run array<int>, place array<int>, start array<long>"
-)
+RUNS = "bucket int, unit int, packed binary"
+_PART = [("doc", "<i8"), ("strings", "<i4"), ("anchor", "<i4"), ("many", "<i4"), ("place", "<i4"), ("start", "<i4")]
 
 
 class Sent:
-    """What a unit sends to one suffix bucket."""
+    """What a unit sends to one suffix bucket: runs of strings (bytes, least document, number of strings, where
+    the anchor stands), and the places (run, document of the unit, position) that have them.
+
+    Places of a run without bytes are removed already; ``run`` then is the number of their strings.
+    """
 
     def __init__(self) -> None:
         self.data: list[bytes] = []
@@ -197,6 +199,32 @@ class Sent:
         self.place: list[int] = []
         self.start: list[int] = []
 
+    def packed(self) -> bytes:
+        """All of it, compressed; documents and places stand as steps, which are small."""
+        run = np.array(self.run, dtype=np.int64)
+        order = np.argsort(run, kind="stable") if self.data else np.arange(len(run))
+        parts = {
+            "doc": np.diff(self.doc, prepend=0) if self.doc else [],
+            "strings": self.strings,
+            "anchor": self.anchor,
+            "many": np.bincount(run, minlength=len(self.data)) if self.data else run,
+            "place": np.diff(np.array(self.place)[order], prepend=0),
+            "start": np.array(self.start)[order],
+        }
+        arrays = [np.asarray(parts[name]).astype(kind).tobytes() for name, kind in _PART]
+        sizes = np.array([len(a) for a in arrays], dtype="<i8").tobytes()
+        return zstandard.ZstdCompressor(level=3).compress(b"".join([sizes, *arrays, *self.data]))
+
+
+def _opened(packed: bytes) -> tuple[dict[str, np.ndarray], bytes]:
+    data = zstandard.ZstdDecompressor().decompress(packed)
+    at, out = 8 * len(_PART), {}
+    for (name, kind), size in zip(_PART, np.frombuffer(data[:at], dtype="<i8").tolist(), strict=True):
+        out[name] = np.frombuffer(data[at : at + size], dtype=kind).astype(np.int64)
+        at += size
+    out["doc"], out["place"] = np.cumsum(out["doc"]), np.cumsum(out["place"])
+    return out, data[at:]
+
 
 def _sent_runs(length: int, anchor_buckets: int, buckets: int):
     def work(docs: pa.Table, repeated: pa.Table) -> pa.Table:
@@ -242,17 +270,13 @@ def _sent_runs(length: int, anchor_buckets: int, buckets: int):
                         send(text[start : start + n - 1 + length], key >> 24, doc, place, start, n, int(offset[i]))
         number = docs.column("unit")[0].as_py()
         sent = [(b, s) for b, s in out.items()] + ([(buckets + number, gone)] if gone.run else [])
-        columns = {"bucket": [b for b, _ in sent], "unit": [number] * len(sent)}
-        columns["data"] = [b"".join(s.data) for _, s in sent]
-        columns["size"] = [[len(d) for d in s.data] for _, s in sent]
-        for name in ("doc", "strings", "anchor", "run", "place", "start"):
-            columns[name] = [getattr(s, name) for _, s in sent]
-        schema = pa.schema(
-            [("bucket", pa.int32()), ("unit", pa.int32()), ("data", pa.binary()), ("size", pa.list_(pa.int32()))]
-            + [("doc", pa.list_(pa.int64())), ("strings", pa.list_(pa.int32())), ("anchor", pa.list_(pa.int32()))]
-            + [("run", pa.list_(pa.int32())), ("place", pa.list_(pa.int32())), ("start", pa.list_(pa.int64()))]
+        return pa.table(
+            {
+                "bucket": pa.array([b for b, _ in sent], pa.int32()),
+                "unit": pa.array([number] * len(sent), pa.int32()),
+                "packed": pa.array([s.packed() for _, s in sent], pa.binary()),
+            }
         )
-        return pa.table(columns, schema=schema)
 
     return work
 
@@ -275,9 +299,10 @@ def _flat(rows: pa.Table, name: str) -> np.ndarray:
     return rows.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
 
 
-def earlier(data: list[bytes], size: np.ndarray, doc: np.ndarray, strings: np.ndarray, anchor: np.ndarray, length: int) -> np.ndarray:
+def earlier(data: list[bytes], doc: np.ndarray, strings: np.ndarray, anchor: np.ndarray, length: int) -> np.ndarray:
     """For each string of each run, in turn: whether a run of a smaller document has it too."""
     # Runs lie so that their anchors stand at residue 0: equal strings then mostly tie within one residue.
+    size = strings + (length - 1)
     room = (anchor + size + 2 * PERIOD) // PERIOD * PERIOD
     starts = np.cumsum(room) - room + (-anchor) % PERIOD
     text = np.zeros(int(room.sum()) + PERIOD, dtype=np.uint8)
@@ -303,13 +328,16 @@ def earlier(data: list[bytes], size: np.ndarray, doc: np.ndarray, strings: np.nd
 def _found_spans(length: int, buckets: int):
     def work(rows: pa.Table) -> pa.Table:
         number = rows.column("unit").to_pylist()
-        runs_in = rows.column("run").combine_chunks().value_lengths().to_numpy()
-        run, place, start = _flat(rows, "run").astype(np.int64), _flat(rows, "place"), _flat(rows, "start")
+        opened = [_opened(p) for p in rows.column("packed").to_pylist()]
         if rows.column("bucket")[0].as_py() >= buckets:
-            own = list(np.split(np.arange(len(run)), np.cumsum(runs_in)[:-1]))
-            return _spans_table(number, [(place[o], start[o], start[o] + run[o] + (length - 1)) for o in own])
-        size, doc, strings, anchor = (_flat(rows, n).astype(np.int64) for n in ("size", "doc", "strings", "anchor"))
-        out = earlier(rows.column("data").to_pylist(), size, doc, strings, anchor, length)
+            gone = [(o["place"], o["start"], o["start"] + o["many"] + (length - 1)) for o, _ in opened]
+            return _spans_table(number, gone)
+        doc, strings, anchor, many_places, place, start = (
+            np.concatenate([o[name] for o, _ in opened]) for name, _ in _PART
+        )
+        run = np.repeat(np.arange(len(strings)), many_places)
+        runs_in = np.array([len(o["place"]) for o, _ in opened])
+        out = earlier([data for _, data in opened], doc, strings, anchor, length)
         # Stretches of removed strings within each run.
         owner = np.repeat(np.arange(len(strings)), strings)
         inside = np.arange(len(out)) - (np.cumsum(strings) - strings)[owner]
@@ -319,9 +347,6 @@ def _found_spans(length: int, buckets: int):
         stretch_of = owner[heads]
         many = np.bincount(stretch_of, minlength=len(strings))
         first = np.cumsum(many) - many
-        # A place names its run by its number among those of its row.
-        sizes = rows.column("size").combine_chunks().value_lengths().to_numpy()
-        run = run + np.repeat(np.cumsum(sizes) - sizes, runs_in)
         n = many[run]
         which = np.repeat(first[run] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         spot = np.repeat(np.arange(len(run)), n)
@@ -410,7 +435,7 @@ def remove_repeats(
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     units = max(partitions, -(-n_bytes // UNIT_BYTES))
-    buckets = 2 * partitions
+    buckets = BUCKETS * partitions
     dealt = texts.withColumn("unit", F.pmod(F.xxhash64("doc_id", "text"), F.lit(units)).cast("int"))
     sent = dealt.groupBy("unit").applyInArrow(_sent_anchors(length, partitions), ANCHORS)
     repeated = sent.groupBy("bucket").applyInArrow(_repeated_anchors(crowded), ANCHORS)
