@@ -30,6 +30,8 @@ GRID = 20  # bits of the exponent
 STEPS_A_JOB = 4
 BLOCK_DIGITS = 3  # hexadecimal: 4096 blocks in a source
 MAX_REPEATS = 2.0
+# Sources up to which their table, five short values each, is sent to every executor.
+BROADCAST_SOURCES = 50_000
 SEED = "mix"
 TOKEN = r"[^\x20\x09-\x0D]+"
 
@@ -158,6 +160,8 @@ def mix(
 
     # Names of the columns of docs are out of reach here: each row keeps them in one struct.
     rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("doc_id"), *[c.alias(n) for n, c in keyed.items()])
+    if sources.count() <= BROADCAST_SOURCES:  # else a join that moves the rows, whose skew Spark splits
+        cuts = F.broadcast(cuts)
     rows = _placed(rows.join(cuts, "mix_source", "left"), seed, F.col("whole"))
     again = (F.col("block_place") < F.col("end_block")) | (
         (F.col("block_place") == F.col("end_block")) & (F.col("row_place") <= F.col("end_row"))
