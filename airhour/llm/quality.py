@@ -222,7 +222,7 @@ def train(rows: DataFrame) -> QualityModel | None:
     def described(texts: pa.Array) -> pa.Array:
         return pa.array(list(Features().of([t or "" for t in texts.to_pylist()])), pa.list_(pa.float64()))
 
-    found = rows.select("label", "pick", described("text").alias("x")).orderBy("pick").toArrow()
+    found = rows.select("label", "pick", described("text").alias("x")).toArrow().sort_by("pick")
     y = found.column("label").to_numpy().astype(np.int64)
     if len(np.unique(y)) < 2:
         return None
