@@ -38,7 +38,7 @@ LENGTH = 50
 GRAM = 24  # bytes of the strings whose hashes are compared
 UNIT_BYTES = 6 << 20
 SLICE = 1 << 20  # strings that are looked at together
-BUCKETS = 6  # suffix buckets for each partition of a shuffle
+BUCKET_BYTES = 3 << 20  # text of the corpus for each suffix bucket
 CROWDED = 1000  # documents that share an anchor from which on its strings go by themselves
 _BASE = 0x9E3779B97F4A7C15
 
@@ -308,14 +308,15 @@ def earlier(data: list[bytes], doc: np.ndarray, strings: np.ndarray, anchor: np.
     text = np.zeros(int(room.sum()) + PERIOD, dtype=np.uint8)
     flat = np.frombuffer(b"".join(data), dtype=np.uint8)
     before = np.cumsum(size) - size
-    text[np.repeat(starts - before, size) + np.arange(len(flat))] = flat
+    inside = np.repeat(starts - before, size) + np.arange(len(flat))
+    text[inside] = flat
     first = np.cumsum(strings) - strings
     at = np.repeat(starts - first, strings) + np.arange(int(strings.sum()))
     owner = np.zeros(len(text), dtype=np.int32)  # the string that starts at each position
     owner[at] = np.arange(len(at), dtype=np.int32)
     docs = np.repeat(doc, strings)
     out = np.zeros(len(at), dtype=bool)
-    ordered = Ordered(text, length)
+    ordered = Ordered(text, length, inside)
     for bucket in ordered.buckets(at):
         bucket = ordered.sort(bucket)
         heads = np.flatnonzero(ordered.equal_runs(bucket))
@@ -435,7 +436,7 @@ def remove_repeats(
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     units = max(partitions, -(-n_bytes // UNIT_BYTES))
-    buckets = BUCKETS * partitions
+    buckets = max(partitions, -(-n_bytes // BUCKET_BYTES))
     dealt = texts.withColumn("unit", F.pmod(F.xxhash64("doc_id", "text"), F.lit(units)).cast("int"))
     sent = dealt.groupBy("unit").applyInArrow(_sent_anchors(length, partitions), ANCHORS)
     repeated = sent.groupBy("bucket").applyInArrow(_repeated_anchors(crowded), ANCHORS)

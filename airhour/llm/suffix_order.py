@@ -43,37 +43,40 @@ def _changes(*keys: np.ndarray) -> np.ndarray:
 class Ordered:
     """A text and the order of its suffixes up to ``depth`` bytes; beyond its end are zeros."""
 
-    def __init__(self, text: np.ndarray, depth: int) -> None:
+    def __init__(self, text: np.ndarray, depth: int, inside: np.ndarray | None = None) -> None:
+        """``inside``: the positions that matter, in ascending order; all if not given."""
         self.depth = depth
         padded = np.zeros(len(text) + depth + 4 * PERIOD + 16, dtype=np.uint8)
         padded[: len(text)] = text
         pairs = (padded[:-1].astype(np.uint64) << np.uint64(8)) | padded[1:]
         fours = (pairs[:-2] << np.uint64(16)) | pairs[2:]
         self.eight = (fours[:-4] << np.uint64(32)) | fours[4:]  # the eight bytes from each position on
-        self._rank_cover(len(text))
-
-    def _first(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two numbers that order positions by their first PERIOD bytes."""
-        return self.eight[at], self.eight[at + (PERIOD - 8)]
-
-    def _rank_cover(self, size: int) -> None:
-        blocks = np.arange(0, size + PERIOD, PERIOD)
-        sample = (blocks[:, None] + np.array(COVER)).ravel()
-        sample = sample[sample < size]
+        del pairs, fours
+        self._rank(np.arange(len(text)) if inside is None else inside)
+
+    def _first(self, at: np.ndarray) -> np.ndarray:
+        """Numbers that order positions by their first PERIOD bytes."""
+        return (self.rank_eight[at].astype(np.int64) << 32) | self.rank_eight[at + (PERIOD - 8)]
+
+    def _rank(self, inside: np.ndarray) -> None:
+        self.rank_eight = np.zeros(len(self.eight), dtype=np.int32)
+        order = inside[np.argsort(self.eight[inside])]
+        self.rank_eight[order] = _numbered(_changes(self.eight[order]))
+        sample = inside[COVERED[inside % PERIOD]]
         self.rank = np.zeros(len(self.eight), dtype=np.int32)
-        a, b = self._first(sample)
-        order = np.lexsort((b, a))
-        self.rank[sample[order]] = _numbered(_changes(a[order], b[order]))
-        known = PERIOD
-        while known < self.depth:  # a covered position and the one ``known`` further on, covered as well
-            key = (self.rank[sample].astype(np.int64) << 32) | self.rank[sample + known]
-            order = np.argsort(key, kind="stable")
+        key, known = self._first(sample), PERIOD
+        while True:
+            order = np.argsort(key)
             self.rank[sample[order]] = _numbered(_changes(key[order]))
+            if known >= self.depth:
+                return
+            # A covered position and the one ``known`` further on, which is covered as well.
+            key = (self.rank[sample].astype(np.int64) << 32) | self.rank[sample + known]
             known *= 2
 
     def buckets(self, at: np.ndarray) -> Iterator[np.ndarray]:
         """The positions dealt to buckets by their leading two bytes, in ascending order of these."""
-        lead = (self.eight[at] >> np.uint64(48)).astype(np.int64)
+        lead = (self.eight[at] >> np.uint64(48)).astype(np.uint16)
         ends = np.cumsum(np.bincount(lead, minlength=1 << 16))
         by_lead = at[np.argsort(lead, kind="stable")]
         start = 0
@@ -85,9 +88,9 @@ class Ordered:
 
     def sort(self, at: np.ndarray) -> np.ndarray:
         """The positions of one bucket in the order of their suffixes."""
-        a, b = self._first(at)
-        order = np.lexsort((b, a))
-        at, group = at[order], _numbered(_changes(a[order], b[order]))
+        key = self._first(at)
+        order = np.argsort(key)
+        at, group = at[order], _numbered(_changes(key[order]))
         tied = np.zeros(len(at), dtype=bool)
         same = group[1:] == group[:-1]
         tied[1:] = same
@@ -101,14 +104,14 @@ class Ordered:
         """Positions in tied groups in their order; the groups are in order already."""
         residue = at % PERIOD
         own = self.rank[at + SHIFT[residue, residue]]
-        order = np.lexsort((own, residue, group))
-        at, group, residue, own = at[order], group[order], residue[order], own[order]
-        first = _changes(group, residue, own)
+        key = ((group.astype(np.int64) * PERIOD + residue) << 32) | own
+        order = np.argsort(key)
+        at, group, residue = at[order], group[order], residue[order]
+        first = _changes(key[order])
         one = np.cumsum(first) - 1  # which distinct suffix of a residue a row belongs to
         heads = np.flatnonzero(first)
         place = self._places(at[heads], group[heads], residue[heads])
-        final = np.lexsort((place[one], group))
-        return at[final]
+        return at[np.argsort((group.astype(np.int64) << 32) | place[one])]
 
     def _places(self, at: np.ndarray, group: np.ndarray, residue: np.ndarray) -> np.ndarray:
         """How many distinct suffixes of its group, of each residue, are less than each.
