@@ -18,4 +18,4 @@ def metric_name(column: Column) -> Column:
 
 def build_metric_columns(metrics: Iterable[str]) -> dict[str, str]:
     """Reading column to metric name, by the same rule, at plan time."""
-    return {column: "".join(column.split(MEAN_MARKER)) for column in metrics}
+    return {column: column.replace(MEAN_MARKER, "") for column in metrics}

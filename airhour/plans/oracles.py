@@ -232,7 +232,7 @@ ORACLES: dict[str, str] = {
     "catch_up_state": f"""
         SELECT 'hourly' AS pipeline, {RUNNING_HOUR} - INTERVAL 1 HOUR AS last_processed_hour,
           '{VERSION}' AS version, {CLOCK} AS last_backfill""",
-    "catch_up_readback": readings(f"SELECT * FROM ({hourly(keys=['so2'])}) WHERE {SINCE_START}"),
+    "catch_up_readback": readings(f"SELECT * FROM ({hourly()}) WHERE {SINCE_START}"),
     "stream_hourly_closed": readings(closed_hours(None, ANY_VALID, "0 HOUR")),
     "stream_hourly_delayed": readings(closed_hours(["co"], "co_status = 'k'", STREAM_DELAY.replace("hours", "HOUR"))),
 }

@@ -353,7 +353,7 @@ def report_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = ReportSink(path=scratch_path(spark, "report"))
     export(hourly(spark, sf_dir), [sink])
     schema = "time timestamp_ntz, location string, metrica string, valor double, count_ok bigint, version string"
-    return spark.read.schema(schema).csv(sink.path, header=True)
+    return spark.read.schema(schema).csv(sink.written, header=True)
 
 
 @register
@@ -438,11 +438,11 @@ def backfill_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catch_up(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The state entry and the facts after a catch-up of one table."""
+    """The state entry and the facts after a catch-up of all tables."""
     source = event_source(spark, sf_dir)
     state, sink = run_target(spark)
     state.set_last_processed_hour("hourly", RUN_START, VERSION)
-    backfill_from_state(spark, source, state, [sink], ["so2"], "hourly", VERSION, clock(spark, sf_dir))
+    backfill_from_state(spark, source, state, [sink], None, "hourly", VERSION, clock(spark, sf_dir))
     return latest_entry(state.entries()), spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
 
 

@@ -7,13 +7,16 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.time import TimeLike, get_current_hour_start, get_previous_hour_start
 from ..operators.counts import counted_by_table
 from ..operators.coverage import coverage_gaps, find_missing_hours, preview
 from ..operators.hourly import hourly_long, hourly_long_fetched
 from ..session import ensure_checkpoint_dir
-from ..sinks.tables import Sink, export
+from ..functions.naming import build_metric_columns
+from ..schema import guard_not_null
+from ..sinks.tables import Scope, Sink, export
 from ..sources.ranges import backfill_range, incremental_range, time_range
 from ..sources.readings import ReadingSource, Readings
 from .state import DEFAULT_VERSION, StateLog
@@ -40,13 +43,15 @@ def _execute(
     """One job computes the rows and all counts; the sinks read its output."""
     tables = [item.table for item in readings]
     hourly = hourly_long_fetched(readings, version) if count_fetched else hourly_long(readings, version)
-    long, observation = counted_by_table(hourly, tables)
+    # The guard stands before the rows are kept: a null fails the run before any sink has begun.
+    long, observation = counted_by_table(guard_not_null(hourly), tables)
     ensure_checkpoint_dir(long.sparkSession)
     result = long.checkpoint()
     counts = observation.get
     by_table = {table.key: counts[table.key] for table in tables}
     fetched = {table.key: counts[f"fetched.{table.key}"] for table in tables} if count_fetched else {}
-    written = export(result, sinks, counts["rows"])
+    scope = [Scope(tuple(build_metric_columns(item.table.metrics).values()), item.within) for item in readings]
+    written = export(result, sinks, counts["rows"], scope)
     logger.info("%d hourly rows, by table %s, written to %s", counts["rows"], by_table, written)
     return RunResult(result, counts["rows"], by_table, fetched, written)
 
@@ -67,7 +72,8 @@ def run_incremental(
 
     The clock is read once, so the hour recorded is the last hour read. A
     failing sink raises before the state moves and the hours are read again
-    next time. Without rows the state stays. With ``per_table_state`` each table
+    next time. Without rows, or when a sink was skipped, the state stays; a run of some tables never
+    moves the mark that all of them share. With ``per_table_state`` each table
     has its own mark, moved only when that table had rows. ``incremental=False``
     reads the last completed hour and leaves the state alone.
     """
@@ -82,9 +88,11 @@ def run_incremental(
             within = time_range(as_of=as_of)
         readings += source.readings(marked, within)
     done = _execute(readings, version, sinks, count_fetched)
-    if incremental:
+    if incremental and len(done.written) == len(sinks):
         for mark, marked in marks.items():
-            if any(done.rows_by_table[key] for key in marked):
+            if not per_table_state and set(marked) != set(source.catalog.keys):
+                logger.warning("%s stays: only %s of its tables ran", mark, marked)
+            elif any(done.rows_by_table[key] for key in marked):
                 state.set_last_processed_hour(
                     mark,
                     get_previous_hour_start(as_of),
@@ -122,25 +130,41 @@ def backfill_from_state(
     pipeline: str = "hourly",
     version: str = DEFAULT_VERSION,
     as_of: datetime | None = None,
+    per_table_state: bool = False,
 ) -> RunResult | None:
     """Process the hours between the state and the running hour, then advance the state.
 
-    None when there is no state yet or nothing is missing.
+    None when there is no state yet or nothing is missing. Tables without a mark of their own are left out with
+    ``per_table_state``. A mark moves as in run_incremental, and also when there were no rows.
     """
     as_of = as_of or datetime.now(timezone.utc)
-    last = state.get_last_processed_hour(pipeline)
-    if last is None:
-        logger.info("no state for %s; run it first", pipeline)
-        return None
-    first, more = preview(find_missing_hours(spark, last, as_of))
-    if not first:
-        logger.info("%s is up to date", pipeline)
+    keys = tables or source.catalog.keys
+    marks = {f"{pipeline}-{key}": [key] for key in keys} if per_table_state else {pipeline: keys}
+    readings: list[Readings] = []
+    behind: list[str] = []
+    for mark, marked in marks.items():
+        last = state.get_last_processed_hour(mark)
+        if last is None:
+            logger.info("no state for %s; run it first", mark)
+            continue
+        first, more = preview(find_missing_hours(spark, last, as_of))
+        if not first:
+            logger.info("%s is up to date", mark)
+            continue
+        logger.info("%d missing hours of %s, first %s", len(first) + more, mark, [str(h) for h in first])
+        start = incremental_range(last, as_of).start
+        readings += source.readings(marked, backfill_range(start, get_current_hour_start(as_of)))
+        behind.append(mark)
+    if not readings:
         return None
-    logger.info("%d missing hours of %s, first %s", len(first) + more, pipeline, [str(h) for h in first])
-    start = incremental_range(last, as_of).start
-    done = run_backfill(source, start, get_current_hour_start(as_of), sinks, tables, version)
-    state.set_last_processed_hour(
-        pipeline, get_previous_hour_start(as_of), metadata={"last_backfill": as_of.isoformat()}
-    )
-    done.advanced.append(pipeline)
+    done = _execute(readings, version, sinks)
+    starts = [item.within.start for item in readings]
+    done.gaps = coverage_gaps(readings, starts[0] if len(starts) == 1 else F.least(*starts), get_current_hour_start(as_of))
+    skipped = done.rows > 0 and len(done.written) != len(sinks)
+    for mark in behind:
+        if skipped or (not per_table_state and set(marks[mark]) != set(source.catalog.keys)):
+            logger.warning("%s stays: not all of its tables and sinks took part", mark)
+            continue
+        state.set_last_processed_hour(mark, get_previous_hour_start(as_of), metadata={"last_backfill": as_of.isoformat()})
+        done.advanced.append(mark)
     return done

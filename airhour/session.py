@@ -69,7 +69,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="airhour-"))
     return context.getCheckpointDir()

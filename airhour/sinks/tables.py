@@ -3,19 +3,39 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.hourly import naive_timestamps
 from ..schema import OUTPUT_COLUMNS, guard_not_null, require_output_columns
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, prepare
+from ..sources.ranges import TimeRange
 
 logger = logging.getLogger(__name__)
 
-# Fixed value: rows of one spreadsheet, less the header.
-REPORT_FILE_ROWS = 1_048_575
+
+@dataclass(frozen=True)
+class Scope:
+    """What a result recomputes: the hours of these metrics that a range reaches, or all of them."""
+
+    metrics: tuple[str, ...]
+    within: TimeRange | None = None
+
+    def hours(self) -> Column:
+        inside = F.col("metrica").isin(list(self.metrics))
+        if self.within is None:
+            return inside
+        return inside & (F.col("time") >= F.date_trunc("hour", self.within.start)) & (F.col("time") < self.within.end)
+
+    def dates(self) -> Column:
+        if self.within is None:
+            return F.lit(True)
+        return F.col("date").between(F.to_date(self.within.start), F.to_date(self.within.end))
 
 
 class Sink:
@@ -27,7 +47,7 @@ class Sink:
     def configured(self) -> bool:
         return True
 
-    def write(self, df: DataFrame, rows: int) -> None:
+    def write(self, df: DataFrame, rows: int, scope: Sequence[Scope] | None = None) -> None:
         raise NotImplementedError
 
 
@@ -55,7 +75,7 @@ class AppendSink(Sink):
     def configured(self) -> bool:
         return bool(self.path or self.table)
 
-    def write(self, df: DataFrame, rows: int) -> None:
+    def write(self, df: DataFrame, rows: int, scope: Sequence[Scope] | None = None) -> None:
         if not self.configured:
             raise ValueError("path or table is required")
         writer = _facts(df).write.mode("append").format(self.fmt).options(**self.options)
@@ -89,7 +109,7 @@ class NarrowTableSink(Sink):
     def configured(self) -> bool:
         return bool(self.table)
 
-    def write(self, df: DataFrame, rows: int) -> None:
+    def write(self, df: DataFrame, rows: int, scope: Sequence[Scope] | None = None) -> None:
         if not self.configured:
             raise ValueError("table is required")
         where = f" LOCATION '{self.location}'" if self.location else ""
@@ -102,35 +122,39 @@ class NarrowTableSink(Sink):
 
 @dataclass
 class ReportSink(Sink):
-    """CSV report with zone-free timestamps, replacing an earlier one.
+    """CSV reports with zone-free timestamps, one folder for each run under ``path``; earlier ones stay.
 
-    A result that fits a spreadsheet is one file. A larger one stays spread
-    over as many files as it has partitions, complete and each with a header.
+    A report has as many files as the result has partitions, each with a header. ``single_file`` puts it
+    into one, through one task, whatever its size.
     """
 
     path: str | None = None
-    max_file_rows: int = REPORT_FILE_ROWS
+    single_file: bool = False
+    written: str | None = None  # the folder of the last report
     name: str = "report"
 
     @property
     def configured(self) -> bool:
         return bool(self.path)
 
-    def write(self, df: DataFrame, rows: int) -> None:
+    def write(self, df: DataFrame, rows: int, scope: Sequence[Scope] | None = None) -> None:
         if not self.configured:
             raise ValueError("path is required")
         report = naive_timestamps(df)
-        if rows <= self.max_file_rows:
+        if self.single_file:
             report = report.coalesce(1)
-        report.write.mode("overwrite").csv(self.path, header=True)
+        folder = f"{self.path}/{datetime.now(timezone.utc):%Y%m%dT%H%M%S.%f}"
+        report.write.csv(folder, header=True)
+        self.written = folder
 
 
 @dataclass
 class HourPartitionSink(Sink):
-    """Replace the hours (or days) that the result holds and keep all others.
+    """Replace what a result recomputes, and keep all other rows, in partitions of hours or days.
 
-    Repeating a run leaves the target unchanged. With ``unit='day'`` a result
-    has to hold whole days, since the partitions of its days are replaced.
+    With a scope, stored rows of its metrics and hours go, also where the result has none. Without, stored rows
+    of a metric and hour that the result holds go. The rest of the touched dates is read, and written again
+    with the result. Repeating a run leaves the target unchanged.
     """
 
     path: str | None = None
@@ -141,15 +165,32 @@ class HourPartitionSink(Sink):
     def configured(self) -> bool:
         return bool(self.path)
 
-    def write(self, df: DataFrame, rows: int) -> None:
+    def write(self, df: DataFrame, rows: int, scope: Sequence[Scope] | None = None) -> None:
         if not self.configured:
             raise ValueError("path is required")
         if self.unit not in ("hour", "day"):
             raise ValueError("unit is 'hour' or 'day'")
+        spark = df.sparkSession
         parts = {"date": F.to_date("time")}
         if self.unit == "hour":
             parts["hour"] = F.hour("time")
         laid_out = _facts(df).withColumns(parts)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        emptied: list = []
+        if files.exists(folder):
+            stored = self._touched(spark.read.schema(laid_out.schema).parquet(self.path), laid_out, scope)
+            if scope is None:
+                kept = stored.join(laid_out.select("time", "metrica").distinct(), ["time", "metrica"], "left_anti")
+            else:
+                inside = reduce(Column.__or__, [s.hours() for s in scope], F.lit(False))
+                kept = stored.filter(~F.coalesce(inside, F.lit(False)))
+            # The partitions that are read are written over, so the rows are kept elsewhere in between.
+            ensure_checkpoint_dir(spark)
+            merged = laid_out.unionByName(kept.select(*laid_out.columns)).checkpoint()
+            names = list(parts)  # a row for each touched partition
+            emptied = stored.select(names).distinct().join(merged.select(names).distinct(), names, "left_anti").collect()
+            laid_out = merged
         # Few files per partition, and large partitions cut into several tasks.
         balanced = laid_out.hint("rebalance", *[F.col(name) for name in parts])
         (
@@ -158,6 +199,15 @@ class HourPartitionSink(Sink):
             .partitionBy(*parts)
             .parquet(self.path)
         )
+        for row in emptied:
+            gone = "/".join(f"{name}={row[name]}" for name in parts)
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{gone}"), True)
+
+    def _touched(self, stored: DataFrame, new: DataFrame, scope: Sequence[Scope] | None) -> DataFrame:
+        """The stored rows of the dates that the result or the scope reaches."""
+        first, last = new.agg(F.min("date"), F.max("date")).first()
+        dates = F.col("date").between(first, last) if first is not None else F.lit(False)
+        return stored.filter(reduce(Column.__or__, [part.dates() for part in scope or ()], dates))
 
 
 def materialise(df: DataFrame) -> tuple[DataFrame, int]:
@@ -167,16 +217,19 @@ def materialise(df: DataFrame) -> tuple[DataFrame, int]:
     """
     ensure_checkpoint_dir(df.sparkSession)
     observation = Observation()
-    kept = df.observe(observation, F.count(F.lit(1)).alias("rows")).checkpoint()
+    prepare(df.sparkSession)
+    kept = guard_not_null(df).observe(observation, F.count(F.lit(1)).alias("rows")).checkpoint()
     return kept, observation.get["rows"]
 
 
-def export(df: DataFrame, sinks: list[Sink], rows: int | None = None) -> list[str]:
+def export(
+    df: DataFrame, sinks: list[Sink], rows: int | None = None, scope: Sequence[Scope] | None = None
+) -> list[str]:
     """Write one result to several sinks; gives the names of those written.
 
     Nothing is written for an empty result. A sink without its settings is
     skipped with a warning; a failing one raises. ``rows`` is the row count of a
-    result that is already materialised.
+    result that is already materialised, ``scope`` what it recomputes.
     """
     if rows is None:
         df, rows = materialise(df)
@@ -188,6 +241,6 @@ def export(df: DataFrame, sinks: list[Sink], rows: int | None = None) -> list[st
         if not sink.configured:
             logger.warning("%s skipped: missing configuration", sink.name)
             continue
-        sink.write(df, rows)
+        sink.write(df, rows, scope)
         written.append(sink.name)
     return written

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import ALL_COLUMNS, Catalog, ReadingTable
 from ..functions.time import TimeLike, ensure_utc
+from ..session import prepare
 from .ranges import TimeRange, backfill_range, incremental_range, specific_hour, time_range
 
 
@@ -25,6 +26,7 @@ class Readings:
     table: ReadingTable
     rows: DataFrame
     status: str = "status"
+    within: TimeRange | None = None
 
     def frame(self) -> DataFrame:
         """``time, location, <metrics>, status``, or every column for a ``*`` table."""
@@ -105,9 +107,10 @@ class ReadingSource:
         result = []
         for table in self.catalog.select(keys):
             base = self._resolve(table)
+            prepare(base.sparkSession)
             if id(base) not in ranged:
                 ranged[id(base)] = (base, self._limit(base, within))
-            result.append(Readings(table, ranged[id(base)][1], self._status.get(table.key, "status")))
+            result.append(Readings(table, ranged[id(base)][1], self._status.get(table.key, "status"), within))
         return result
 
     def _limit(self, base: DataFrame, within: TimeRange | None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from airhour.catalog import Catalog
 from airhour.plans.runs import backfill_from_state, run_backfill, run_incremental
 from airhour.plans.state import StateLog, latest_entry, latest_state, merge_metadata, metadata_value
-from airhour.sinks.tables import AppendSink, Sink
+from airhour.sinks.tables import AppendSink, HourPartitionSink, Sink
 from airhour.sources.readings import ReadingSource
 
 
@@ -108,7 +108,7 @@ def source(frame):
 class Broken(Sink):
     name = "broken"
 
-    def write(self, df, rows):
+    def write(self, df, rows, scope=None):
         raise RuntimeError("target is down")
 
 
@@ -214,12 +214,37 @@ def test_catch_up(spark, source, state, tmp_path):
     state.set_last_processed_hour("hourly", at(10), version="v7")
     done = backfill_from_state(spark, source, state, [sink], tables=["co"], as_of=at(15, 30))
     assert hours(spark, sink.path) == [("co", h) for h in (11, 12, 13, 14)]
+    assert done.advanced == [] and state.get_last_processed_hour("hourly") == at(10)
+    done = backfill_from_state(spark, source, state, [], as_of=at(15, 30))
     assert done.advanced == ["hourly"]
     assert state.get_last_processed_hour("hourly") == at(14)
     assert state.get_metadata("hourly", "last_backfill") == iso(15, 30)
     assert backfill_from_state(spark, source, state, [sink], as_of=at(15, 45)) is None
 
 
+def test_catch_up_per_table(spark, source, state):
+    state.set_last_processed_hour("hourly-co", at(12))
+    done = backfill_from_state(spark, source, state, [], as_of=at(15, 30), per_table_state=True)
+    assert done.advanced == ["hourly-co"] and set(done.rows_by_table) == {"co"}
+    assert state.get_last_processed_hour("hourly-co") == at(14)
+
+
+def test_skipped_sink_leaves_the_state(source, state):
+    done = run_incremental(source, state, [AppendSink()], as_of=at(11, 30))
+    assert done.rows > 0 and done.written == [] and done.advanced == []
+
+
+def test_backfill_of_some_tables_keeps_the_others(spark, source, state, tmp_path):
+    sink = HourPartitionSink(path=str(tmp_path / "facts"))
+    run_backfill(source, at(8), at(16), [sink], version="v1")
+    before = spark.read.parquet(sink.path).drop("date", "hour").collect()
+    run_backfill(source, at(9), at(12), [sink], tables=["co"], version="v2")
+    after = spark.read.parquet(sink.path)
+    assert sorted(r[:-1] for r in after.select(*before[0].__fields__).collect()) == sorted(r[:-1] for r in before)
+    assert {r[0] for r in after.filter("version = 'v2'").select(F.hour("time")).collect()} <= {9, 10, 11}
+    assert {r[0] for r in after.filter("version = 'v2'").select("metrica").collect()} == {"co"}
+
+
 def test_failed_catch_up_leaves_the_state(spark, source, state):
     state.set_last_processed_hour("hourly", at(10))
     with pytest.raises(RuntimeError):

@@ -7,11 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from airhour.schema import OUTPUT_COLUMNS, OUTPUT_SCHEMA
+from airhour.sources.ranges import backfill_range
 from airhour.sinks.tables import (
     AppendSink,
     HourPartitionSink,
     NarrowTableSink,
     ReportSink,
+    Scope,
     export,
     materialise,
 )
@@ -100,23 +102,42 @@ def test_narrow_table_rejects_a_count_that_does_not_fit(facts, tmp_path):
         export(facts((*TEN[:4], 2**31, "v1")), [sink])
 
 
-def test_report_is_one_file_without_zones(spark, facts, tmp_path):
-    sink = ReportSink(path=str(tmp_path / "deep" / "er" / "report"))
+def test_reports_are_kept_for_each_run(spark, facts, tmp_path):
+    sink = ReportSink(path=str(tmp_path / "deep" / "er" / "report"), single_file=True)
     export(facts(TEN, ELEVEN).repartition(4), [sink])
-    export(facts(TEN, ELEVEN).repartition(4), [sink])
-    files = list(Path(sink.path).glob("*.csv"))
+    first = sink.written
+    export(facts(TEN).repartition(4), [sink])
+    assert first != sink.written and len(list(Path(sink.written).glob("*.csv"))) == 1
+    files = list(Path(first).glob("*.csv"))
     assert len(files) == 1
     lines = files[0].read_text().splitlines()
     assert lines[0] == ",".join(OUTPUT_COLUMNS) and len(lines) == 3
     assert any(line.startswith("2024-01-01T10:00:00.000,a,co,1.25,4,v1") for line in lines)
 
 
-def test_large_report_stays_in_many_files(spark, facts, tmp_path):
-    sink = ReportSink(path=str(tmp_path / "r"), max_file_rows=10)
+def test_reports_have_as_many_files_as_partitions(spark, facts, tmp_path):
+    sink = ReportSink(path=str(tmp_path / "r"))
     rows = facts(*[(f"2024-01-01T{h:02d}:00:00Z", "a", "co", float(h), 1, "v") for h in range(20)])
     export(rows.repartition(4), [sink])
-    assert len(list(Path(sink.path).glob("*.csv"))) == 4
-    assert spark.read.csv(sink.path, header=True).count() == 20
+    assert len(list(Path(sink.written).glob("*.csv"))) == 4
+    assert spark.read.csv(sink.written, header=True).count() == 20
+
+
+def test_null_key_fails_before_any_sink(facts, tmp_path):
+    path = tmp_path / "report"
+    with pytest.raises(Exception, match="null in required column location"):
+        export(facts(("2024-01-01T10:00:00Z", None, "co", 1.0, 1, "v")), [ReportSink(path=str(path))])
+    assert not path.exists()
+
+
+def test_emptied_hours_of_a_scope_go(spark, facts, tmp_path):
+    sink = HourPartitionSink(path=str(tmp_path / "p"))
+    export(facts(TEN, ELEVEN), [sink])
+    scope = [Scope(("co",), backfill_range("2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z"))]
+    only = facts(("2024-01-01T12:00:00Z", "a", "co", 2.0, 1, "v3"))
+    export(only, [sink], 1, scope)
+    left = {(r.metrica, r.hour) for r in spark.read.parquet(sink.path).select("metrica", F.hour("time").alias("hour")).collect()}
+    assert ("co", 12) in left and ("co", 10) not in left
 
 
 def test_repeated_hours_are_replaced(spark, facts, tmp_path):
@@ -129,12 +150,12 @@ def test_repeated_hours_are_replaced(spark, facts, tmp_path):
     assert spark.read.parquet(sink.path).count() == 2
 
 
-def test_day_unit_replaces_whole_days(spark, facts, tmp_path):
+def test_day_unit_keeps_other_hours(spark, facts, tmp_path):
     sink = HourPartitionSink(path=str(tmp_path / "p"), unit="day")
     next_day = ("2024-01-02T10:00:00Z", "a", "co", 5.0, 1, "v")
     export(facts(TEN, ELEVEN, next_day), [sink])
     export(facts(TEN), [sink])
-    assert spark.read.parquet(sink.path).count() == 2
+    assert spark.read.parquet(sink.path).count() == 3
     with pytest.raises(ValueError, match="unit"):
         export(facts(TEN), [HourPartitionSink(path=str(tmp_path / "q"), unit="week")])
 
