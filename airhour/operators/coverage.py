@@ -70,6 +70,17 @@ def requested_hours(
     return locations.select("pollutant", "location", hours)
 
 
+def stations(readings: list[Readings]) -> DataFrame:
+    """``pollutant, location`` of all rows of the tables, also outside the range of ``readings``."""
+    parts = []
+    for group in by_base(readings):
+        rows = group[0].rows if group[0].whole is None else group[0].whole
+        known = rows.where(F.col("location").isNotNull()).select("location").distinct()
+        tables = F.array(*[F.lit(item.table.key) for item in group])
+        parts.append(known.select(F.explode(tables).alias("pollutant"), "location"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def coverage_gaps(
     readings: list[Readings],
     start: TimeLike,
@@ -80,12 +91,15 @@ def coverage_gaps(
     """Requested hours without any row.
 
     With ``by_location`` the expected locations are ``locations`` (a station
-    list), or else those that each table has anywhere in ``readings``. The join
-    is on whole hours after aggregation; its sides are sized at run time.
+    list), or else those that each table has at any time: a station that is silent
+    for the whole range is a gap too. That reads one column of the whole tables;
+    give a list to avoid it. The join is on whole hours after aggregation; its
+    sides are sized at run time.
     """
     present = hours_with_data(readings, by_location or locations is not None)
     if by_location and locations is None:
-        locations = present.select("pollutant", "location").distinct()
+        limited = any(item.whole is not None for item in readings)
+        locations = stations(readings) if limited else present.select("pollutant", "location").distinct()
     spine = requested_hours(readings, start, end, locations)
     return spine.join(present, spine.columns, "left_anti")
 

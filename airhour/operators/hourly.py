@@ -132,7 +132,8 @@ def _shared_base(
         key = item.table.key
         valid = f"{key}.valid"
         # A flag per row, so that the status text is compared once and not once per metric.
-        flags[valid] = F.coalesce(is_valid(item.status), F.lit(False))
+        marked = is_valid(item.status) if item.only is None else is_valid(item.status) & item.only
+        flags[valid] = F.coalesce(marked, F.lit(False))
         aggregates.append(F.expr(f"count_if({_name(valid)})").alias(f"{key}.count_ok"))
         for column, name in build_metric_columns(item.table.metrics).items():
             aggregates.append(F.expr(f"avg({_name(column)}) FILTER (WHERE {_name(valid)})").alias(f"{key}.{column}"))

@@ -142,6 +142,10 @@ def _range_rows(df: DataFrame, checks: list[tuple[str, str, float, float]]) -> D
     return df.agg(*aggregates).select(F.inline(F.array(*cells))).where(F.col("rows_checked") > 0)
 
 
+# How many unknown codes a warning names.
+NAMED_CODES = 20
+
+
 def _checks(pollutant: str | None, columns: list[str]) -> list[tuple[str, str, float, float]]:
     ranges = METRIC_RANGES.get(pollutant, {})
     return [(pollutant, metric, low, high) for metric, (low, high) in ranges.items() if metric in columns]
@@ -210,10 +214,13 @@ def validate_dataframe(
         if profile["status_nulls"]:
             raise DataValidationError(f"Status column contains {profile['status_nulls']} null values")
         if profile["status_unknown"]:
+            codes = df.where(~F.col("status").isin(STATUS_DOMAIN)).select("status").distinct().orderBy("status")
+            named = [row["status"] for row in codes.limit(NAMED_CODES).collect()]
             logger.warning(
-                "%d rows have a status outside %s; status_domain_report lists the codes",
+                "%d rows have a status outside %s, such as %s; status_domain_report lists all codes",
                 profile["status_unknown"],
                 STATUS_DOMAIN,
+                named,
             )
     for pollutant, metric, low, high in _checks(pollutant_type, df.columns):
         least, most = profile[f"{metric}_min"], profile[f"{metric}_max"]

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from ..catalog import METRIC_RANGES, TABLES
 from ..functions.naming import build_metric_columns
-from ..sources.events import READINGS_SQL, STATE_LOG_SQL, STATUS_COLUMNS
+from ..sources.events import RAW_READINGS_SQL, READINGS_SQL, STATE_LOG_SQL, STATUS_COLUMNS
 from .registry import (
+    AGAIN_END,
+    AGAIN_START,
+    AGAIN_TABLES,
+    AGAIN_VERSION,
     COVERAGE_END,
     COVERAGE_START,
     ONE_HOUR,
+    ONE_HOUR_END,
     RANGE_END,
     RANGE_START,
     RUN_START,
@@ -33,6 +38,19 @@ def readings(query: str) -> str:
     return f"WITH readings AS ({READINGS_SQL.format(events='events')}) {query}"
 
 
+def raw_readings(query: str) -> str:
+    return f"WITH readings AS ({RAW_READINGS_SQL.format(events='events')}) {query}"
+
+
+def millionths(column: str) -> str:
+    return f"floor({column} * 1e6 + 0.3712345::DOUBLE) / 1e6"
+
+
+def anew(where: str) -> str:
+    """The rows of ``where`` with the second version."""
+    return f"* REPLACE (CASE WHEN {where} THEN '{AGAIN_VERSION}' ELSE version END AS version)"
+
+
 def states(query: str) -> str:
     """``latest``: the newest entry per pipeline; arg_max alone would skip a null hour."""
     return f"""
@@ -120,6 +138,10 @@ IN_INCREMENT = f"time >= {LAST_PROCESSED} + INTERVAL 1 HOUR AND time < {RUNNING_
 # Bounds on whole hours are put on the hourly rows: in a filter below the means, a
 # subquery lets threads add up readings in varying order.
 SINCE_START = f"time >= {moment(RUN_START)} + INTERVAL 1 HOUR AND time < {RUNNING_HOUR}"
+AGAIN = f"time >= {moment(AGAIN_START)} AND time < {moment(AGAIN_END)}"
+AGAIN_METRICS = ", ".join(f"'{name}'" for key in AGAIN_TABLES for name in build_metric_columns(TABLES[key][1]).values())
+IN_MONTH = f"time >= {moment(COVERAGE_START)} AND time < {moment(COVERAGE_END)}"
+IN_ONE_HOUR = f"time >= {moment(ONE_HOUR)} AND time < {moment(ONE_HOUR_END)}"
 REPLACED_DAYS = "time >= TIMESTAMP '2024-01-05' AND time < TIMESTAMP '2024-01-07'"
 
 ORACLES: dict[str, str] = {
@@ -205,6 +227,28 @@ ORACLES: dict[str, str] = {
         )
     ),
     "quality_score_co": readings(f"SELECT count(*) AS rows, {score('co')} AS quality_score FROM readings"),
+    "hourly_long_raw": raw_readings(f"SELECT * REPLACE ({millionths('valor')} AS valor) FROM ({hourly()})"),
+    "hourly_wide_raw": raw_readings(
+        "SELECT date_trunc('hour', time) AS time, location, "
+        + ", ".join(f"{millionths(f'avg({m})')} AS {m}" for m in TABLES["meteo"][1])
+        + ", count(*) AS count_ok FROM readings WHERE meteo_status = 'k' GROUP BY 1, 2"
+    ),
+    "ordered_scan_co": scan("co", f"time >= {moment(RANGE_START)} AND time < {moment(RANGE_END)} ORDER BY time"),
+    "coverage_gaps_silent_stations": readings(f"""
+        SELECT pollutant, l.location, {moment(ONE_HOUR)} AS hour
+        FROM {TABLE_KEYS}, (SELECT DISTINCT location FROM readings) l
+        WHERE l.location NOT IN (SELECT location FROM readings WHERE {IN_ONE_HOUR})"""),
+    "partition_subset_backfill": readings(
+        f"SELECT {anew(f'{AGAIN} AND metrica IN ({AGAIN_METRICS})')} FROM ({hourly()}) WHERE {IN_MONTH}"
+    ),
+    "partition_one_hour_of_a_day": readings(f"SELECT {anew(IN_ONE_HOUR)} FROM ({hourly()}) WHERE {IN_MONTH}"),
+    "partition_emptied_hours": readings(
+        f"SELECT {anew(AGAIN)} FROM ({hourly()}) WHERE {IN_MONTH} AND NOT ({AGAIN} AND hour(time) = 12)"
+    ),
+    "append_verified_count": readings(
+        f"SELECT CAST(load AS BIGINT) AS load, CAST(load * count(*) AS BIGINT) AS rows FROM ({hourly()}), "
+        "(VALUES (1), (2)) AS loads(load) GROUP BY load"
+    ),
     "append_readback": readings(f"SELECT * FROM ({hourly()}) UNION ALL SELECT * FROM ({hourly()})"),
     "partition_readback": readings(
         f"SELECT * REPLACE (CASE WHEN {REPLACED_DAYS} THEN 'v2.0.0' ELSE version END AS version) FROM ({hourly()})"
@@ -225,6 +269,22 @@ ORACLES: dict[str, str] = {
     "state_metadata": states("""
         SELECT pipeline, updated_at, version AS pipeline_version, version AS origin, props AS last_execution,
           'never' AS last_backfill, CAST(3 AS BIGINT) AS entries FROM log"""),
+    "state_fresh": f"""
+        SELECT 'hourly' AS pipeline, '{VERSION}' AS version, CAST(0 AS BIGINT) AS entries,
+          CAST(NULL AS TIMESTAMP) AS last_processed_hour, {RUNNING_HOUR} - INTERVAL 1 HOUR AS next_hour""",
+    "empty_run_readback": readings(
+        f"SELECT *, CAST(1 AS BIGINT) AS written FROM ({hourly()}) WHERE {SINCE_START}"
+    ),
+    "stored_tables_readback": readings(
+        f"SELECT {anew(f'{AGAIN} AND metrica IN ({AGAIN_METRICS})')} FROM ({hourly()}) WHERE {SINCE_START}"
+    ),
+    "per_table_runs_readback": readings(f"SELECT * FROM ({hourly()}) WHERE {SINCE_START}"),
+    "catch_up_per_table": f"SELECT 'hourly-' || pollutant AS pipeline, "
+    f"{RUNNING_HOUR} - INTERVAL 1 HOUR AS last_processed_hour FROM {TABLE_KEYS}",
+    "catch_up_subset_state": readings(
+        f"SELECT 'hourly' AS pipeline, {moment(RUN_START)} AS last_processed_hour, count(*) AS rows "
+        f"FROM ({hourly(keys=AGAIN_TABLES)}) WHERE {SINCE_START}"
+    ),
     "incremental_runs_readback": readings(f"SELECT * FROM ({hourly()}) WHERE {SINCE_START}"),
     "backfill_readback": readings(
         hourly(f"time >= {moment(COVERAGE_START)} AND time < {moment(COVERAGE_END)}", ["co", "meteo"])

@@ -40,6 +40,7 @@ from ..sources.events import (
     event_source,
     event_state_log,
     events,
+    raw_event_source,
     separate_event_source,
     wide_readings,
 )
@@ -58,6 +59,11 @@ COVERAGE_START = "2024-01-01T00:00:00Z"
 COVERAGE_END = "2024-02-01T00:00:00Z"
 STREAM_DELAY = "3 hours"
 RUN_START = "2023-12-31T22:00:00Z"
+ONE_HOUR_END = "2024-01-12T19:00:00Z"
+AGAIN_START = "2024-01-10T08:00:00Z"
+AGAIN_END = "2024-01-10T18:00:00Z"
+AGAIN_TABLES = ["co", "nox"]
+AGAIN_VERSION = "v2.0.0"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -314,6 +320,38 @@ def quality_score_co(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_score(event_source(spark, sf_dir).fetch_table("co"))
 
 
+def whole_millionths(df: DataFrame, *columns: str) -> DataFrame:
+    """Values cut to whole millionths. The offset keeps short decimals off the edges, where the last bit would decide."""
+    return df.withColumns({c: F.floor(F.col(c) * 1e6 + 0.3712345).cast("double") / 1e6 for c in columns})
+
+
+@register
+def hourly_long_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly means of the values as they are."""
+    return whole_millionths(hourly_long(raw_event_source(spark, sf_dir).readings(), VERSION), "valor")
+
+
+@register
+def hourly_wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table of the values as they are, a column per metric."""
+    item = raw_event_source(spark, sf_dir).readings(["meteo"])[0]
+    metrics = list(item.table.metrics)
+    return whole_millionths(hourly_wide(item.frame(), metrics), *metrics)
+
+
+@register
+def ordered_scan_co(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range in the order of time."""
+    return event_source(spark, sf_dir).fetch_data("co", RANGE_START, RANGE_END, ordered=True)
+
+
+@register
+def coverage_gaps_silent_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One hour, in which some stations have no row at all."""
+    readings = event_source(spark, sf_dir).readings(None, backfill_range(ONE_HOUR, ONE_HOUR_END))
+    return coverage_gaps(readings, ONE_HOUR, ONE_HOUR_END, by_location=True)
+
+
 # Sinks: each query writes to a new folder and reads it back
 
 
@@ -338,6 +376,49 @@ def partition_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
 
 
+@register
+def partition_subset_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables, then ten hours of two of them: the rows of the others stay."""
+    sink = HourPartitionSink(path=scratch_path(spark, "partitions"), unit="day")
+    source = event_source(spark, sf_dir)
+    run_backfill(source, COVERAGE_START, COVERAGE_END, [sink], None, VERSION)
+    run_backfill(source, AGAIN_START, AGAIN_END, [sink], AGAIN_TABLES, AGAIN_VERSION)
+    return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
+
+
+@register
+def partition_one_hour_of_a_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days, then a single hour of one of them: its other hours stay."""
+    sink = HourPartitionSink(path=scratch_path(spark, "partitions"), unit="day")
+    source = event_source(spark, sf_dir)
+    run_backfill(source, COVERAGE_START, COVERAGE_END, [sink], None, VERSION)
+    run_backfill(source, ONE_HOUR, ONE_HOUR_END, [sink], None, AGAIN_VERSION)
+    return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
+
+
+@register
+def partition_emptied_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All hours, then a range whose readings have gone in part: what is not there any more goes from the target."""
+    sink = HourPartitionSink(path=scratch_path(spark, "partitions"))
+    run_backfill(event_source(spark, sf_dir), COVERAGE_START, COVERAGE_END, [sink], None, VERSION)
+    left = events(spark, sf_dir).where(F.hour("ts") != 12)
+    source = ReadingSource.from_wide(wide_readings(spark, left), status=STATUS_COLUMNS)
+    run_backfill(source, AGAIN_START, AGAIN_END, [sink], None, AGAIN_VERSION)
+    return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
+
+
+@register
+def append_verified_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the target as the sink counts them, after each of two loads."""
+    sink = AppendSink(path=scratch_path(spark, "append"))
+    kept, rows = materialise(hourly(spark, sf_dir))
+    loads = []
+    for load in (1, 2):
+        export(kept, [sink], rows)
+        loads.append((load, sink.row_count(spark)))
+    return spark.createDataFrame(loads, "load bigint, rows bigint")
+
+
 @register
 def narrow_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """32-bit values, widened again."""
@@ -406,6 +487,20 @@ def state_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def state_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pipeline without an entry, and its next hour by the newest event."""
+    state, _ = run_target(spark)
+    fresh = state.load("hourly")
+    following = state.get_next_hour_to_process("hourly", clock(spark, sf_dir))
+    row = spark.createDataFrame(
+        [(fresh.pipeline, fresh.version, len(fresh.metadata))], "pipeline string, version string, entries bigint"
+    )
+    return row.withColumns(
+        {"last_processed_hour": F.lit(fresh.last_processed_hour).cast("timestamp"), "next_hour": ensure_utc(following)}
+    )
+
+
 # Runs: each query works on a state log and a target of its own
 
 
@@ -437,6 +532,78 @@ def backfill_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
 
 
+@register
+def empty_run_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run without an hour to read writes nothing; the next one does. ``written`` counts the sinks of both."""
+    source = event_source(spark, sf_dir)
+    state, sink = run_target(spark)
+    state.set_last_processed_hour("hourly", RUN_START)
+    early = datetime.fromisoformat(RUN_START) + timedelta(hours=1)
+    runs = [
+        run_incremental(source, state, [sink], version=VERSION, as_of=as_of) for as_of in (early, clock(spark, sf_dir))
+    ]
+    written = F.lit(sum(len(run.written) for run in runs)).cast("bigint").alias("written")
+    return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS, written)
+
+
+@register
+def stored_tables_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six tables stored by date; a run over them, then a backfill of two."""
+    source = stored_event_source(spark, sf_dir)
+    state, sink = run_target(spark)
+    state.set_last_processed_hour("hourly", RUN_START)
+    run_incremental(source, state, [sink], version=VERSION, as_of=clock(spark, sf_dir))
+    run_backfill(source, AGAIN_START, AGAIN_END, [sink], AGAIN_TABLES, AGAIN_VERSION)
+    return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
+
+
+def stored_event_source(spark: SparkSession, sf_dir: str) -> ReadingSource:
+    """The six tables written to the shared folder, each by date."""
+    root = scratch_path(spark, "readings")
+    for item in event_source(spark, sf_dir).readings():
+        dated = item.frame().withColumn("date", F.to_date("time")).hint("rebalance", F.col("date"))
+        dated.write.partitionBy("date").parquet(f"{root}/{item.table.table}")
+    return ReadingSource.from_path(spark, root, date_col="date")
+
+
+@register
+def per_table_runs_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables with marks of their own: one is days ahead of the others, then all run up to the same hour."""
+    source = event_source(spark, sf_dir)
+    state, sink = run_target(spark)
+    for key in source.catalog.keys:
+        state.set_last_processed_hour(f"hourly-{key}", RUN_START)
+    now = clock(spark, sf_dir)
+    early = now - timedelta(days=2)
+    run_incremental(source, state, [sink], ["co"], version=VERSION, as_of=early, per_table_state=True)
+    run_incremental(source, state, [sink], version=VERSION, as_of=now, per_table_state=True)
+    return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
+
+
+@register
+def catch_up_per_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marks after a catch-up of tables with marks of their own."""
+    source = event_source(spark, sf_dir)
+    state, sink = run_target(spark)
+    for key in source.catalog.keys:
+        state.set_last_processed_hour(f"hourly-{key}", RUN_START)
+    backfill_from_state(
+        spark, source, state, [sink], version=VERSION, as_of=clock(spark, sf_dir), per_table_state=True
+    )
+    return latest_state(state.entries()).select("pipeline", "last_processed_hour")
+
+
+@register
+def catch_up_subset_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shared mark after a catch-up of some tables: unchanged. ``rows`` counts what was written."""
+    state, sink = run_target(spark)
+    state.set_last_processed_hour("hourly", RUN_START)
+    source = event_source(spark, sf_dir)
+    done = backfill_from_state(spark, source, state, [sink], AGAIN_TABLES, as_of=clock(spark, sf_dir))
+    mark = latest_state(state.entries()).select("pipeline", "last_processed_hour")
+    return mark.withColumn("rows", F.lit(done.rows).cast("bigint"))
+
+
 def catch_up(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The state entry and the facts after a catch-up of all tables."""
     source = event_source(spark, sf_dir)

@@ -4,20 +4,20 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.time import TimeLike, get_current_hour_start, get_previous_hour_start
 from ..operators.counts import counted_by_table
-from ..operators.coverage import coverage_gaps, find_missing_hours, preview
+from ..operators.coverage import coverage_gaps
 from ..operators.hourly import hourly_long, hourly_long_fetched
+from ..operators.quality import validate_dataframe
 from ..session import ensure_checkpoint_dir
 from ..functions.naming import build_metric_columns
 from ..schema import guard_not_null
 from ..sinks.tables import Scope, Sink, export
-from ..sources.ranges import backfill_range, incremental_range, time_range
+from ..sources.ranges import TimeRange, backfill_range, incremental_range, time_range
 from ..sources.readings import ReadingSource, Readings
 from .state import DEFAULT_VERSION, StateLog
 
@@ -56,6 +56,31 @@ def _execute(
     return RunResult(result, counts["rows"], by_table, fetched, written)
 
 
+def _readings(
+    source: ReadingSource, marks: dict[str, list[str]], ranges: dict[str, TimeRange], apart: bool = False
+) -> list[Readings]:
+    """The tables of all marks. Fetched rows are counted for each base, so ``apart`` keeps the marks' scans apart."""
+    if apart or len(marks) == 1:
+        return [item for mark, keys in marks.items() for item in source.readings(keys, ranges[mark])]
+    return source.readings_each({key: ranges[mark] for mark, keys in marks.items() for key in keys})
+
+
+def _validate(readings: list[Readings]) -> None:
+    for item in readings:
+        validate_dataframe(item.frame(), pollutant_type=item.table.key)
+
+
+def _missing(last: datetime, as_of: datetime) -> tuple[datetime, int]:
+    """The first whole hour after the mark, and how many are complete since."""
+
+    def hour(moment: datetime) -> datetime:
+        moment = moment.replace(tzinfo=timezone.utc) if moment.tzinfo is None else moment.astimezone(timezone.utc)
+        return moment.replace(minute=0, second=0, microsecond=0)
+
+    first = hour(last) + timedelta(hours=1)
+    return first, (hour(as_of) - first) // timedelta(hours=1)
+
+
 def run_incremental(
     source: ReadingSource,
     state: StateLog,
@@ -67,6 +92,7 @@ def run_incremental(
     incremental: bool = True,
     per_table_state: bool = False,
     count_fetched: bool = False,
+    gate: bool = False,
 ) -> RunResult:
     """Process every completed hour after the state, then advance it.
 
@@ -75,18 +101,20 @@ def run_incremental(
     next time. Without rows, or when a sink was skipped, the state stays; a run of some tables never
     moves the mark that all of them share. With ``per_table_state`` each table
     has its own mark, moved only when that table had rows. ``incremental=False``
-    reads the last completed hour and leaves the state alone.
+    reads the last completed hour and leaves the state alone. ``gate`` validates each
+    table's rows first, and a table that fails stops the run before anything is written.
     """
     as_of = as_of or datetime.now(timezone.utc)
     keys = tables or source.catalog.keys
     marks = {f"{pipeline}-{key}": [key] for key in keys} if per_table_state else {pipeline: keys}
-    readings: list[Readings] = []
-    for mark, marked in marks.items():
-        if incremental:
-            within = incremental_range(state.get_last_processed_hour(mark), as_of)
-        else:
-            within = time_range(as_of=as_of)
-        readings += source.readings(marked, within)
+    states = state.load_all(list(marks)) if incremental else {}
+    ranges = {
+        mark: incremental_range(states[mark].last_processed_hour, as_of) if incremental else time_range(as_of=as_of)
+        for mark in marks
+    }
+    readings = _readings(source, marks, ranges, apart=count_fetched)
+    if gate:
+        _validate(readings)
     done = _execute(readings, version, sinks, count_fetched)
     if incremental and len(done.written) == len(sinks):
         for mark, marked in marks.items():
@@ -98,6 +126,7 @@ def run_incremental(
                     get_previous_hour_start(as_of),
                     version,
                     {"pipeline_version": version, "last_execution": as_of.isoformat()},
+                    states[mark],
                 )
                 done.advanced.append(mark)
     return done
@@ -110,12 +139,15 @@ def run_backfill(
     sinks: list[Sink],
     tables: list[str] | None = None,
     version: str = DEFAULT_VERSION,
+    gate: bool = False,
 ) -> RunResult:
     """Process all hours in ``[start, end)`` as one range scan per table; no state is touched.
 
-    ``gaps`` of the result lists, lazily, the requested hours without data.
+    ``gaps`` of the result lists, lazily, the requested hours without data. ``gate`` is as in run_incremental.
     """
     readings = source.readings(tables, backfill_range(start, end))
+    if gate:
+        _validate(readings)
     done = _execute(readings, version, sinks)
     done.gaps = coverage_gaps(readings, start, end)
     return done
@@ -140,31 +172,36 @@ def backfill_from_state(
     as_of = as_of or datetime.now(timezone.utc)
     keys = tables or source.catalog.keys
     marks = {f"{pipeline}-{key}": [key] for key in keys} if per_table_state else {pipeline: keys}
-    readings: list[Readings] = []
-    behind: list[str] = []
-    for mark, marked in marks.items():
-        last = state.get_last_processed_hour(mark)
+    states = state.load_all(list(marks))
+    ranges: dict[str, TimeRange] = {}
+    starts: list[datetime] = []
+    for mark in marks:
+        last = states[mark].last_processed_hour
         if last is None:
             logger.info("no state for %s; run it first", mark)
             continue
-        first, more = preview(find_missing_hours(spark, last, as_of))
-        if not first:
+        first, missing = _missing(last, as_of)
+        if missing <= 0:
             logger.info("%s is up to date", mark)
             continue
-        logger.info("%d missing hours of %s, first %s", len(first) + more, mark, [str(h) for h in first])
-        start = incremental_range(last, as_of).start
-        readings += source.readings(marked, backfill_range(start, get_current_hour_start(as_of)))
-        behind.append(mark)
-    if not readings:
+        logger.info("%d missing hours of %s, first %s", missing, mark, first)
+        ranges[mark] = backfill_range(first, get_current_hour_start(as_of))
+        starts.append(first)
+    if not ranges:
         return None
+    readings = _readings(source, {mark: marks[mark] for mark in ranges}, ranges)
     done = _execute(readings, version, sinks)
-    starts = [item.within.start for item in readings]
-    done.gaps = coverage_gaps(readings, starts[0] if len(starts) == 1 else F.least(*starts), get_current_hour_start(as_of))
+    done.gaps = coverage_gaps(readings, min(starts), get_current_hour_start(as_of))
     skipped = done.rows > 0 and len(done.written) != len(sinks)
-    for mark in behind:
+    for mark in ranges:
         if skipped or (not per_table_state and set(marks[mark]) != set(source.catalog.keys)):
             logger.warning("%s stays: not all of its tables and sinks took part", mark)
             continue
-        state.set_last_processed_hour(mark, get_previous_hour_start(as_of), metadata={"last_backfill": as_of.isoformat()})
+        state.set_last_processed_hour(
+            mark,
+            get_previous_hour_start(as_of),
+            metadata={"last_backfill": as_of.isoformat()},
+            previous=states[mark],
+        )
         done.advanced.append(mark)
     return done

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import TimeLike, add_hours, ensure_utc, get_previous_hour_start
 from ..schema import STATE_SCHEMA
+from ..session import ensure_checkpoint_dir
 
 # Fixed value: version of a pipeline that has not recorded one.
 DEFAULT_VERSION = "v1.0.0"
@@ -74,8 +75,10 @@ class StateLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
-        empty = spark.createDataFrame([], STATE_SCHEMA)
-        empty.write.mode("ignore").partitionBy("pipeline").parquet(path)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            empty = spark.createDataFrame([], STATE_SCHEMA)
+            empty.write.mode("ignore").partitionBy("pipeline").parquet(path)
 
     def entries(self) -> DataFrame:
         """The whole log; empty before the first entry."""
@@ -83,22 +86,40 @@ class StateLog:
 
     def load(self, pipeline: str) -> State:
         """The current state, fresh when the pipeline has no entry."""
-        mine = latest_entry(self.entries().where(F.col("pipeline") == pipeline))
-        row = mine.select(
+        return self.load_all([pipeline])[pipeline]
+
+    def load_all(self, pipelines: list[str]) -> dict[str, State]:
+        """The current states of the named pipelines, by one job."""
+        newest = latest_entry(self.entries().where(F.col("pipeline").isin(pipelines)))
+        rows = newest.select(
+            "pipeline",
             F.unix_micros("last_processed_hour").alias("hour"),
             F.unix_micros("updated_at").alias("updated"),
             "version",
             "metadata",
-        ).first()
-        if row is None:
-            return State(pipeline)
-        return State(
-            pipeline,
-            _moment(row["hour"]),
-            row["version"] or DEFAULT_VERSION,
-            dict(row["metadata"] or {}),
-            _moment(row["updated"]),
-        )
+        ).collect()  # a row for each named pipeline
+        found = {
+            row["pipeline"]: State(
+                row["pipeline"],
+                _moment(row["hour"]),
+                row["version"] or DEFAULT_VERSION,
+                dict(row["metadata"] or {}),
+                _moment(row["updated"]),
+            )
+            for row in rows
+        }
+        return {pipeline: found.get(pipeline, State(pipeline)) for pipeline in pipelines}
+
+    def compact(self) -> None:
+        """Keep the newest entry of each pipeline, in a file of its own; older entries go.
+
+        Not to be run beside a run that advances the state. Pipelines are replaced one folder at a time,
+        and a folder that has not been replaced yet gives the same state as before.
+        """
+        ensure_checkpoint_dir(self.spark)
+        newest = latest_entry(self.entries()).select(*STATE_SCHEMA.fieldNames()).checkpoint()
+        writer = newest.repartition("pipeline").write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("pipeline").parquet(self.path)
 
     def get_last_processed_hour(self, pipeline: str) -> datetime | None:
         return self.load(pipeline).last_processed_hour
@@ -116,9 +137,10 @@ class StateLog:
         hour: TimeLike,
         version: str | None = None,
         metadata: dict[str, str] | None = None,
+        previous: State | None = None,
     ) -> None:
-        """Advance the state, with metadata in the same entry."""
-        state = self.load(pipeline)
+        """Advance the state, with metadata in the same entry. ``previous`` is the state, if it has been loaded."""
+        state = previous or self.load(pipeline)
         self._append(state, hour, version or state.version, {**state.metadata, **(metadata or {})})
 
     def update_metadata(self, pipeline: str, key: str, value: str) -> None:

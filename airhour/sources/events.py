@@ -35,6 +35,9 @@ SELECT event_id, ts AS time,
 FROM (SELECT *, floor(value * 64) / 64 AS reading FROM {events})
 """
 
+# The same with the values as they are; their means depend on the order of the sums in the last digits.
+RAW_READINGS_SQL = READINGS_SQL.replace("floor(value * 64) / 64 AS reading", "value AS reading")
+
 STATUS_COLUMNS = {
     key: f"{key}_status" for key in ("co", "nox", "pm10", "so2", "o3", "meteo")
 }
@@ -62,6 +65,12 @@ def event_source(spark: SparkSession, sf_dir: str) -> ReadingSource:
     return ReadingSource.from_wide(wide_readings(spark, events(spark, sf_dir)), status=STATUS_COLUMNS)
 
 
+def raw_event_source(spark: SparkSession, sf_dir: str) -> ReadingSource:
+    """All six tables on one shared base, with the values as they are."""
+    base = spark.sql(RAW_READINGS_SQL, events=events(spark, sf_dir))
+    return ReadingSource.from_wide(base, status=STATUS_COLUMNS)
+
+
 def separate_event_source(spark: SparkSession, sf_dir: str) -> ReadingSource:
     """The six tables as frames of their own, as when each is stored by itself."""
     shared = event_source(spark, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import ALL_COLUMNS, Catalog, ReadingTable
@@ -27,12 +27,15 @@ class Readings:
     rows: DataFrame
     status: str = "status"
     within: TimeRange | None = None
+    whole: DataFrame | None = None  # the rows without a range, where there is one
+    only: Column | None = None  # the table's own range, where ``rows`` reach further
 
     def frame(self) -> DataFrame:
         """``time, location, <metrics>, status``, or every column for a ``*`` table."""
+        rows = self.rows if self.only is None else self.rows.where(self.only)
         if self.table.metrics == ALL_COLUMNS:
-            return self.rows
-        return self.rows.select("time", "location", *self.table.metrics, F.col(self.status).alias("status"))
+            return rows
+        return rows.select("time", "location", *self.table.metrics, F.col(self.status).alias("status"))
 
 
 class ReadingSource:
@@ -110,7 +113,32 @@ class ReadingSource:
             prepare(base.sparkSession)
             if id(base) not in ranged:
                 ranged[id(base)] = (base, self._limit(base, within))
-            result.append(Readings(table, ranged[id(base)][1], self._status.get(table.key, "status"), within))
+            whole = None if within is None else base
+            result.append(Readings(table, ranged[id(base)][1], self._status.get(table.key, "status"), within, whole))
+        return result
+
+    def readings_each(self, within: dict[str, TimeRange]) -> list[Readings]:
+        """Tables with a range for each key.
+
+        Tables on one base share one scan over all their ranges; each then takes the rows of its own range.
+        """
+        bases: dict[int, tuple[DataFrame, list[ReadingTable]]] = {}
+        for table in self.catalog.select(list(within)):
+            base = self._resolve(table)
+            prepare(base.sparkSession)
+            bases.setdefault(id(base), (base, []))[1].append(table)
+        result = []
+        for base, tables in bases.values():
+            ranges = list({id(within[table.key]): within[table.key] for table in tables}.values())
+            if len(ranges) == 1:
+                rows = self._limit(base, ranges[0])
+            else:
+                reach = TimeRange(F.least(*[r.start for r in ranges]), F.greatest(*[r.end for r in ranges]))
+                rows = self._limit(base, reach)
+            for table in tables:
+                own = within[table.key]
+                only = own.predicate() if len(ranges) > 1 else None
+                result.append(Readings(table, rows, self._status.get(table.key, "status"), own, base, only))
         return result
 
     def _limit(self, base: DataFrame, within: TimeRange | None) -> DataFrame:

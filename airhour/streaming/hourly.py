@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.hourly import hourly_long
-from ..schema import OUTPUT_COLUMNS, guard_not_null
+from ..schema import OUTPUT_COLUMNS, OUTPUT_SCHEMA, guard_not_null
 from ..sources.readings import ReadingSource
 
 
@@ -41,14 +41,28 @@ def stream_hourly_long(
     return hourly_long(source.readings(tables), version, watermark_delay=delay)
 
 
-def start_hourly_stream(long: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def start_hourly_stream(
+    long: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = True,
+    files_per_day: int = 4,
+    missing_location: str | None = None,
+) -> StreamingQuery:
     """Append closed hours to a Parquet folder with one sub-folder per day.
 
     The checkpoint holds what has been read and the open hours; both folders
     belong on storage the cluster shares. ``available_now`` processes what is
-    there and stops.
+    there and stops. A batch writes at most ``files_per_day`` files for a day; the
+    rows of a day are dealt by location.
+
+    A null location fails the stream, again at each restart. With
+    ``missing_location``, a name that no station has, such rows are written under it.
     """
+    if missing_location is not None:
+        long = long.withColumn("location", F.coalesce("location", F.lit(missing_location)))
     dated = guard_not_null(long).withColumn("date", F.to_date("time"))
+    dated = dated.repartition(F.col("date"), F.pmod(F.xxhash64("location"), F.lit(files_per_day)))
     writer = (
         dated.writeStream.format("parquet")
         .outputMode("append")
@@ -60,5 +74,5 @@ def start_hourly_stream(long: DataFrame, path: str, checkpoint: str, available_n
 
 
 def read_hours(spark: SparkSession, path: str) -> DataFrame:
-    """The hours a stream has written so far."""
-    return spark.read.parquet(path).select(*OUTPUT_COLUMNS)
+    """The hours a stream has written so far; none before the first is closed."""
+    return spark.read.schema(OUTPUT_SCHEMA).parquet(path).select(*OUTPUT_COLUMNS)
