@@ -11,9 +11,10 @@ Vectors that are equal share an entry, with as many of their ids as can be among
 smallest. Blocks of queries meet blocks of the index; nothing that grows is broadcast.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, or have another number of
-dimensions than the first (by id) take no part, neither as queries nor as candidates; nor do null ids. A
-repeated id is a row of its own, and a query finds no row with its own id. A query has fewer neighbours if there are
-fewer candidates. An empty table gives no rows. Extra columns are ignored.
+dimensions than the first (by id) take no part, neither as queries nor as candidates; nor do null ids. Rows
+that repeat both id and vector count once; one id on several vectors is as many rows. A query finds no row with
+its own id. A query has fewer neighbours if there are fewer candidates. An empty table gives no rows. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -83,7 +84,7 @@ def build(good: DataFrame, coding: Coding, nearest: int = NEAREST) -> DataFrame:
     spread = good.sparkSession.sparkContext.broadcast(coding)
     # A ranking up to a limit is cut before the shuffle too, so copies by the million do not travel.
     by_id = Window.partitionBy("vector").orderBy("vec_id")
-    few = good.withColumn("copy", F.row_number().over(by_id)).filter(F.col("copy") <= nearest + 1)
+    few = good.distinct().withColumn("copy", F.row_number().over(by_id)).filter(F.col("copy") <= nearest + 1)
     entries = few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,16 +143,21 @@ def _search(spread, nearest: int):
             x = np.array(entries.column("vector").to_pylist())
             code = np.frombuffer(b"".join(entries.column("code").to_pylist()), dtype=np.uint8).reshape(len(x), -1)
             centroid, length, own = (entries.column(c).to_numpy() for c in ("centroid", "length", "own"))
+            only: dict[int, list[int]] = {}  # entries that are of no use to a query, as they have no other id
+            for row, own_ids in enumerate(ids):
+                if len(own_ids) == 1:
+                    only.setdefault(own_ids[0], []).append(row)
             q, q_ids = np.array(queries.column("vector").to_pylist()), queries.column("vec_id").to_pylist()
             for at in range(0, len(q), TILE):
                 low, high = squared_bounds(spread.value, code, centroid, length, own, q[at : at + TILE])
-                # One more than asked for, as an entry may be the query itself.
-                reach = np.partition(high, nearest, axis=0)[nearest] if len(x) > nearest else np.full(low.shape[1], np.inf)
                 for j, query in enumerate(q_ids[at : at + TILE]):
-                    some = np.flatnonzero(low[:, j] <= reach[j])
+                    high[only.get(query, []), j] = np.inf
+                reach = np.partition(high, nearest - 1, axis=0)[nearest - 1] if len(x) >= nearest else np.full(low.shape[1], np.inf)
+                for j, query in enumerate(q_ids[at : at + TILE]):
+                    some = np.setdiff1d(np.flatnonzero(low[:, j] <= reach[j]), only.get(query, []))
                     exact = np.sqrt(np.cumsum((x[some] - q[at + j]) ** 2, axis=1)[:, -1])
                     if len(exact) > nearest:
-                        near = exact <= np.partition(exact, nearest)[nearest]
+                        near = exact <= np.partition(exact, nearest - 1)[nearest - 1]
                         some, exact = some[near], exact[near]
                     pairs = [(s, i) for row, s in zip(some.tolist(), exact.tolist(), strict=True) for i in ids[row] if i != query]
                     for s, i in sorted(pairs)[:nearest]:
@@ -178,7 +184,7 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST) -> Data
     path = scratch_path(spark, "index")
     build(good, coding, nearest).write.parquet(path)
     index, n_index = _blocks(spark.read.schema(INDEX).parquet(path), BLOCK_ROWS, F.col("code"))
-    queries, n_queries = _blocks(good.filter(is_query), QUERY_ROWS, F.col("vec_id"))
+    queries, n_queries = _blocks(good.filter(is_query).distinct(), QUERY_ROWS, F.col("vec_id"))
     index = index.withColumn("queries", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
     queries = queries.withColumnRenamed("block", "queries")
     queries = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_index - 1))))
@@ -189,7 +195,7 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST) -> Data
         .applyInArrow(_search(spread, nearest), FOUND)
     )
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = found.dropDuplicates(["query_id", "vec_id", "score"]).withColumn("rank", F.row_number().over(order))
+    ranked = found.withColumn("rank", F.row_number().over(order))
     return ranked.filter(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
 
 

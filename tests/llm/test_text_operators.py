@@ -284,6 +284,30 @@ def test_nearest_odd_vectors(spark):
     assert nearest.op5(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def brute_nearest(rows):
+    distinct = sorted({(i, tuple(v)) for i, v in rows})
+    pairs = {}
+    for q, x in distinct:
+        if q % 100 == 0:
+            far = [(float(np.sqrt(np.cumsum((np.array(v) - np.array(x)) ** 2)[-1])), i) for i, v in distinct if i != q]
+            pairs.setdefault(q, []).extend(far)
+    return sorted((q, rank, i, s) for q, far in pairs.items() for rank, (s, i) in enumerate(sorted(far)[:10], 1))
+
+
+VECTORS = "vec_id long, embedding array<double>"
+
+
+@pytest.mark.parametrize("block", [1 << 14, 8])
+def test_nearest_repeated_rows(spark, monkeypatch, block):
+    monkeypatch.setattr(nearest, "BLOCK_ROWS", block)
+    rng = random.Random(8)
+    rows = [(i, [float(rng.randrange(-9, 9)) + 0.5 for _ in range(6)]) for i in [*range(30), 100, 200]]
+    rows += [(i, rows[3][1]) for i in (40, 41, 42)] + [(3, rows[3][1])] * 12  # the smallest id hides no other
+    rows += [(0, [x + k / 64 for x in rows[0][1]]) for k in range(1, 15)]  # a query's own rows are no neighbours
+    got = nearest.op5(spark.createDataFrame(rows * 2, VECTORS)).collect()
+    assert sorted(map(tuple, got)) == brute_nearest(rows)
+
+
 def accuracy(frame, truth, name):
     rows = frame.join(truth, "doc_id").filter("held_out").select(name, "label").collect()
     return sum(r[0] == r[1] for r in rows) / len(rows)
