@@ -169,9 +169,10 @@ def _search(spread, nearest: int):
     return work
 
 
-def _blocks(rows: DataFrame, size: int, key: Column) -> tuple[DataFrame, int]:
+def _blocks(rows: DataFrame, size: int, *key: str) -> tuple[DataFrame, int]:
+    """Each row in a block of about ``size``; the key has to differ from row to row, or one block gets too many."""
     n = max(1, -(-rows.count() // size))
-    return rows.withColumn("block", F.pmod(F.xxhash64(key), F.lit(n)).cast("int")), n
+    return rows.withColumn("block", F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")), n
 
 
 def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST) -> DataFrame:
@@ -183,8 +184,8 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST) -> Data
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     path = scratch_path(spark, "index")
     build(good, coding, nearest).write.parquet(path)
-    index, n_index = _blocks(spark.read.schema(INDEX).parquet(path), BLOCK_ROWS, F.col("code"))
-    queries, n_queries = _blocks(good.filter(is_query).distinct(), QUERY_ROWS, F.col("vec_id"))
+    index, n_index = _blocks(spark.read.schema(INDEX).parquet(path), BLOCK_ROWS, "vector")
+    queries, n_queries = _blocks(good.filter(is_query).distinct(), QUERY_ROWS, "vec_id", "vector")
     index = index.withColumn("queries", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
     queries = queries.withColumnRenamed("block", "queries")
     queries = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_index - 1))))

@@ -308,6 +308,25 @@ def test_nearest_repeated_rows(spark, monkeypatch, block):
     assert sorted(map(tuple, got)) == brute_nearest(rows)
 
 
+def test_nearest_deals_a_crowded_code(spark, monkeypatch):
+    dealt, blocks = [], nearest._blocks
+
+    def seen(*args):
+        dealt.append(blocks(*args))
+        return dealt[-1]
+
+    monkeypatch.setattr(nearest, "_blocks", seen)
+    monkeypatch.setattr(nearest, "BLOCK_ROWS", 50)
+    rng = random.Random(9)
+    rows = [(i, [5 + rng.random() / 1e6, -3 + rng.random() / 1e6, 9.0]) for i in range(1, 301)]
+    rows += [(i, [rng.uniform(-99, 99) for _ in range(3)]) for i in [*range(301, 600), 600]]
+    monkeypatch.setattr(nearest, "fit", lambda good: nearest.Coding(np.eye(3), np.zeros((1, 3))))
+    got = nearest.op5(spark.createDataFrame(rows, VECTORS)).collect()
+    assert sorted(map(tuple, got)) == brute_nearest(rows)
+    sizes = [r["count"] for r in dealt[0][0].groupBy("block").count().collect()]
+    assert sum(sizes) == 600 and max(sizes) < 100
+
+
 def accuracy(frame, truth, name):
     rows = frame.join(truth, "doc_id").filter("held_out").select(name, "label").collect()
     return sum(r[0] == r[1] for r in rows) / len(rows)
