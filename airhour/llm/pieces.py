@@ -26,7 +26,8 @@ _NO_CUT[[0, *{c.encode()[0] for c in WHITE}]] = True
 
 # Units longer than this many bytes are not remembered.
 LONGEST_UNIT = 64
-# Units remembered in a Python worker; about 60 bytes each. When there are more, all are forgotten.
+# Units remembered in a Python worker; about 60 bytes each. When there are more, all are forgotten, and of the units
+# of one call that are more by themselves, those after the first so many are encoded without being remembered.
 REMEMBERED = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -155,6 +156,7 @@ class Units:
                 self._forget()
                 own = np.flatnonzero(~long)
                 own = own[np.unique(hashes[own], return_index=True)[1]]
+                own = np.sort(own)[: self.limit]  # by place: the least hashes would crowd the first slots
             view = data.tobytes()
             some = [view[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]
             self._remember(hashes[own], some)

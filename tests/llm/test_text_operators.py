@@ -125,6 +125,23 @@ def test_units_forget_and_learn_again(tokenizer):
         assert known.encode([text.encode()])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_units_of_one_text_beyond_the_slots(tokenizer, monkeypatch):
+    known = bpe.Vocabulary(bpe.vocabulary_path())
+    known.units = pieces.Units(known._pieces, limit=40)
+    remember = known.units._remember
+
+    def bounded(hashes, units):
+        assert len(units) <= 40  # more than the 128 slots would be searched for ever
+        remember(hashes, units)
+
+    monkeypatch.setattr(known.units, "_remember", bounded)
+    text = " ".join(f"word{i} again{i % 7}" for i in range(500))
+    for texts in ([text], ["word3 new", text, "", "word499 again6 last"], [text[:300]]):
+        flat, counts = known.encode([t.encode() for t in texts])
+        expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert flat.tolist() == sum(expected, []) and counts.tolist() == [len(ids) for ids in expected]
+
+
 def brute_fingerprint(text):
     words = (text or "").encode().lower().split()
     shingles = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
