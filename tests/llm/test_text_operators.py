@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from airhour.llm import bpe, chunk_fingerprints, language_id, mixing, nearest, pieces, quality, simhash
+from airhour.llm import bpe, chunk_fingerprints, language_id, mixing, nearest, pieces, quality, shingle_sets, simhash
 from airhour.llm import suffix_dedup, suffix_order, token_files, toxicity
 from airhour.llm.queries import ORACLES, QUERIES
 
@@ -204,6 +204,63 @@ def test_crowded_cells_are_dealt_again(spark):
         assert same == {frozenset(q for q in points if expected[q] == expected[p]) for p in points}
 
 
+def brute_kept(rows):
+    """Ids of one row of each component of Jaccard similarity 0.8 or more on five-word shingles."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) / len(a | b) >= 0.8:
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        key = (doc is None, doc or 0)
+        least[root(i)] = min(least.get(root(i), key), key)
+    return in_order((None if none else doc,) for none, doc in least.values())
+
+
+def edited(rng, text, edits):
+    words = text.split()
+    for at in rng.sample(range(len(words)), edits):
+        words[at] = f"new{rng.randrange(10**9)}"
+    return " ".join(words)
+
+
+def test_pipeline_near_duplicates(spark):
+    rng = random.Random(12)
+    passage = " ".join(f"same{i}" for i in range(60))
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randrange(80, 300))) for _ in range(25)]
+    texts += [edited(rng, rng.choice(texts), k) for k in (1, 2, 3, 4, 5, 7, 9, 12) for _ in range(8)]
+    texts += [f"{passage} {i} {rng.random()} {passage.upper() if i % 2 else ''}" for i in range(20)]
+    texts += ["", None, " \n", "one two", "One  two", "one two three", texts[3].upper(), texts[30]]
+    rows = list(zip(rng.sample(range(1000), len(texts)), texts, strict=True))
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, frame, SF)
+    assert got.columns == frame.columns and in_order(got.select("doc_id").collect()) == brute_kept(rows)
+    assert dict(rows).items() >= {(r.doc_id, r.text) for r in got.collect()}
+    assert corpus_pipeline.near_duplicates(spark, frame.limit(0), SF).count() == 0
+
+
+def test_bands_find_similar_sets():
+    rng = np.random.default_rng(3)
+    met = 0
+    for _ in range(2000):
+        a = rng.integers(0, 1 << 64, size=90, dtype=np.uint64)
+        b = np.unique(np.concatenate([a[:80], rng.integers(0, 1 << 64, size=10, dtype=np.uint64)]))
+        met += bool(np.any(shingle_sets.buckets_of(np.unique(a)) == shingle_sets.buckets_of(b)))
+        assert shingle_sets.similar(np.unique(a), b)
+    assert met == 2000
+
+
 def brute_removed(rows, length=50):
     first = {}
     for doc, text in rows:
