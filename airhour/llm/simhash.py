@@ -253,16 +253,6 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int =
     )
 
 
-def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
-    """The rows, with all their columns, of one document of each component: the one with the least ``doc_id``.
-
-    Rows with a null ``doc_id`` stay; so do all rows of a repeated one that stands for a component.
-    """
-    judged = near_duplicates(docs, words, distance).groupBy("doc_id").agg(F.max("component_id").alias("least"))
-    gone = judged.filter("least < doc_id").select(F.col("doc_id").alias("gone"))
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
-
-
 def op7(documents: DataFrame) -> DataFrame:
     return near_duplicates(documents).select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"

@@ -250,6 +250,16 @@ def test_pipeline_near_duplicates(spark):
     assert corpus_pipeline.near_duplicates(spark, frame.limit(0), SF).count() == 0
 
 
+def test_pipeline_keeps_one_row_of_a_group(spark):
+    rng = random.Random(13)
+    a, b, c = (" ".join(f"w{rng.randrange(5000)}" for _ in range(120)) for _ in range(3))
+    rows = [(3, a), (3, a), (7, edited(rng, a, 1)), (7, b), (None, a), (None, c), (None, c), (9, edited(rng, c, 2)), (None, "alone")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, frame, SF).collect()
+    assert in_order(kept) == in_order([(3, a), (7, b), rows[7], (None, "alone")])
+    assert in_order(r[:1] for r in kept) == brute_kept(rows)
+
+
 def test_bands_find_similar_sets():
     rng = np.random.default_rng(3)
     met = 0
