@@ -10,9 +10,9 @@ nearest; the blocks' nearest meet in a last ranking.
 Vectors that are equal share an entry, with as many of their ids as can be among the nearest, the
 smallest. Blocks of queries meet blocks of the index; nothing that grows is broadcast.
 
-Defined results: vectors that are null, zero, hold null or non-finite components, or have another number of
-dimensions than the first (by id) take no part, neither as queries nor as candidates; nor do null ids. Rows
-that repeat both id and vector count once; one id on several vectors is as many rows. A query finds no row with
+Defined results: vectors that are null, zero, or hold null or non-finite components take no part, neither as
+queries nor as candidates; nor do null ids. Vectors are near only to those with as many dimensions: each number
+of dimensions that a query has is searched apart. Rows that repeat both id and vector count once; one id on several vectors is as many rows. A query finds no row with
 its own id. A query has fewer neighbours if there are fewer candidates. An empty table gives no rows. Extra
 columns are ignored.
 """
@@ -51,16 +51,12 @@ def usable(vectors: DataFrame) -> DataFrame:
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector")
     ).filter("vec_id is not null")
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    good = cast.filter(F.col("vector").isNotNull() & finite & F.exists("vector", lambda x: x != 0))
-    first = good.agg(F.min_by(F.size("vector"), "vec_id")).first()[0]
-    return good.filter(F.size("vector") == F.lit(first or 0))
+    return cast.filter(F.col("vector").isNotNull() & finite & F.exists("vector", lambda x: x != 0))
 
 
-def fit(good: DataFrame, seed: int = 11) -> Coding | None:
+def fit(good: DataFrame, seed: int = 11) -> Coding:
     """A random rotation, and centroids by a few rounds of k-means over a bounded sample."""
     rows = good.select("vector", F.xxhash64("vec_id").alias("pick")).orderBy("pick").limit(SAMPLE_ROWS).toArrow()
-    if not rows.num_rows:
-        return None
     x = np.array(rows.column("vector").to_pylist())
     rng = np.random.default_rng(seed)
     q, r = np.linalg.qr(rng.normal(size=(x.shape[1], x.shape[1])))
@@ -179,9 +175,18 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST) -> Data
     """``query_id, rank, vec_id, score``: the nearest rows by Euclidean distance, ties to the smaller id."""
     spark = prepare_text(vectors.sparkSession)
     good = usable(vectors)
+    found = spark.createDataFrame([], FOUND)
+    for row in good.filter(is_query).select(F.size("vector").alias("dims")).distinct().orderBy("dims").collect():
+        found = found.unionByName(_found(good.filter(F.size("vector") == row.dims), is_query, nearest))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
+
+
+def _found(good: DataFrame, is_query: Column, nearest: int) -> DataFrame:
+    """``query_id, vec_id, score`` of each block's nearest; all vectors have the same number of dimensions."""
+    spark = good.sparkSession
     coding = fit(good)
-    if coding is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     path = scratch_path(spark, "index")
     build(good, coding, nearest).write.parquet(path)
     index, n_index = _blocks(spark.read.schema(INDEX).parquet(path), BLOCK_ROWS, "vector")
@@ -190,14 +195,11 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = NEAREST) -> Data
     queries = queries.withColumnRenamed("block", "queries")
     queries = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_index - 1))))
     spread = spark.sparkContext.broadcast(coding)
-    found = (
+    return (
         index.groupBy("block", "queries")
         .cogroup(queries.groupBy("block", "queries"))
         .applyInArrow(_search(spread, nearest), FOUND)
     )
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
 
 
 def op5(embeddings: DataFrame) -> DataFrame:

@@ -392,6 +392,14 @@ def test_nearest_repeated_rows(spark, monkeypatch, block):
     assert sorted(map(tuple, got)) == brute_nearest(rows)
 
 
+def test_nearest_searches_each_number_of_dimensions(spark):
+    rng = random.Random(10)
+    rows = [(i, [rng.uniform(-9, 9) for _ in range(5 if i in (0, 7, 8) else 6)]) for i in [*range(40), 100, 200]]
+    got = nearest.op5(spark.createDataFrame(rows, VECTORS)).collect()
+    expected = [brute_nearest([r for r in rows if len(r[1]) == dims]) for dims in (5, 6)]
+    assert sorted(map(tuple, got)) == sorted(expected[0] + expected[1]) and len(got) == 22
+
+
 def test_nearest_deals_a_crowded_code(spark, monkeypatch):
     dealt, blocks = [], nearest._blocks
 
