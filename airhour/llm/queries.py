@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from airhour.llm import (
     bpe,
     chunk_fingerprints,
+    decontamination,
+    hard_negatives,
     language_id,
     mixing,
     nearest,
@@ -36,6 +38,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": _over(mixing.op8, "documents"),
     "op9_bpe": _over(bpe.op9, "documents"),
     "op10_language_id": _over(language_id.op10, "documents"),
+    "op12_decontamination": _over(decontamination.op12, "documents", "benchmark"),
+    "op13_hard_negatives": _over(hard_negatives.op13, "embeddings"),
 }
 
-ORACLES: dict[str, str] = {"op5_nearest": nearest.OP5_SQL, "op8_mixing": mixing.OP8_SQL}
+ORACLES: dict[str, str] = {
+    "op5_nearest": nearest.OP5_SQL,
+    "op8_mixing": mixing.OP8_SQL,
+    "op12_decontamination": decontamination.OP12_SQL,
+    "op13_hard_negatives": hard_negatives.OP13_SQL,
+}
