@@ -14,6 +14,7 @@ from airhour.llm import (
     language_id,
     mixing,
     nearest,
+    prefix_trie,
     quality,
     simhash,
     suffix_dedup,
@@ -38,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": _over(mixing.op8, "documents"),
     "op9_bpe": _over(bpe.op9, "documents"),
     "op10_language_id": _over(language_id.op10, "documents"),
+    "op11_prefix_trie": _over(prefix_trie.op11, "conversations"),
     "op12_decontamination": _over(decontamination.op12, "documents", "benchmark"),
     "op13_hard_negatives": _over(hard_negatives.op13, "embeddings"),
 }
@@ -45,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op5_nearest": nearest.OP5_SQL,
     "op8_mixing": mixing.OP8_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
     "op12_decontamination": decontamination.OP12_SQL,
     "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
