@@ -12,6 +12,8 @@ from .registry import (
     AGAIN_VERSION,
     COVERAGE_END,
     COVERAGE_START,
+    EMPTIED_END,
+    EMPTIED_START,
     ONE_HOUR,
     ONE_HOUR_END,
     RANGE_END,
@@ -94,6 +96,10 @@ COVERAGE_HOURS = (
     f"(SELECT unnest(generate_series({moment(COVERAGE_START)}, "
     f"{moment(COVERAGE_END)} - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS hour)"
 )
+RANGE_HOURS = (
+    f"(SELECT unnest(generate_series({hour_of(RANGE_START)}, "
+    f"{hour_of(RANGE_END)} - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS hour)"
+)
 IN_COVERAGE = f"ts >= {moment(COVERAGE_START)} AND ts < {moment(COVERAGE_END)}"
 HAS_DATA = f"EXISTS (SELECT 1 FROM events WHERE {IN_COVERAGE} AND date_trunc('hour', ts) = h.hour)"
 LAST_PROCESSED = "(SELECT min(last_processed_hour) FROM latest)"
@@ -124,6 +130,23 @@ def range_checks() -> str:
     )
 
 
+def range_checks_by_hour() -> str:
+    return " UNION ALL ".join(
+        f"""SELECT date_trunc('hour', time) AS hour, location, '{key}' AS pollutant, '{metric}' AS metric,
+            count({metric}) AS rows_checked, count(*) FILTER (WHERE {metric} < {low} OR {metric} > {high}) AS rows_outside,
+            min({metric}) AS actual_min, max({metric}) AS actual_max FROM readings GROUP BY 1, 2 HAVING count({metric}) > 0"""
+        for key, ranges in METRIC_RANGES.items()
+        for metric, (low, high) in ranges.items()
+    )
+
+
+def missing_stations(hours: str) -> str:
+    """Hours without data of every table and station."""
+    return f"""SELECT pollutant, l.location, h.hour
+        FROM {TABLE_KEYS}, (SELECT DISTINCT location FROM readings) l, {hours} h
+        WHERE NOT EXISTS (SELECT 1 FROM readings r WHERE r.location = l.location AND date_trunc('hour', r.time) = h.hour)"""
+
+
 def closed_hours(keys: list[str] | None, watched: str, delay: str) -> str:
     closing = f"(SELECT max(time) FROM readings WHERE {watched}) - INTERVAL {delay}"
     return f"SELECT * FROM ({hourly(keys=keys)}) WHERE time + INTERVAL 1 HOUR <= {closing}"
@@ -142,6 +165,7 @@ AGAIN = f"time >= {moment(AGAIN_START)} AND time < {moment(AGAIN_END)}"
 AGAIN_METRICS = ", ".join(f"'{name}'" for key in AGAIN_TABLES for name in build_metric_columns(TABLES[key][1]).values())
 IN_MONTH = f"time >= {moment(COVERAGE_START)} AND time < {moment(COVERAGE_END)}"
 IN_ONE_HOUR = f"time >= {moment(ONE_HOUR)} AND time < {moment(ONE_HOUR_END)}"
+EMPTIED = f"time >= {moment(EMPTIED_START)} AND time < {moment(EMPTIED_END)}"
 REPLACED_DAYS = "time >= TIMESTAMP '2024-01-05' AND time < TIMESTAMP '2024-01-07'"
 
 ORACLES: dict[str, str] = {
@@ -286,8 +310,55 @@ ORACLES: dict[str, str] = {
         f"FROM ({hourly(keys=AGAIN_TABLES)}) WHERE {SINCE_START}"
     ),
     "incremental_runs_readback": readings(f"SELECT * FROM ({hourly()}) WHERE {SINCE_START}"),
-    "backfill_readback": readings(
-        hourly(f"time >= {moment(COVERAGE_START)} AND time < {moment(COVERAGE_END)}", ["co", "meteo"])
+    "backfill_readback": readings(hourly(IN_MONTH)),
+    "table_partition_backfill": readings(
+        f"SELECT {anew(f'{AGAIN} AND metrica IN ({AGAIN_METRICS})')} FROM ({hourly()}) WHERE {IN_MONTH}"
+    ),
+    "table_partition_emptied_range": readings(f"SELECT * FROM ({hourly()}) WHERE {IN_MONTH} AND NOT ({EMPTIED})"),
+    "partition_emptied_range": readings(f"SELECT * FROM ({hourly()}) WHERE {IN_MONTH} AND NOT ({EMPTIED})"),
+    "append_runs_readback": readings(f"SELECT * FROM ({hourly()}) WHERE {SINCE_START}"),
+    "hourly_from_partials": readings(hourly()),
+    "stream_late_rows": readings(closed_hours(None, ANY_VALID, "0 HOUR")),
+    "coverage_gaps_silent_station_hours": readings(f"""
+        , quiet AS (SELECT hour FROM (SELECT date_trunc('hour', time) AS hour, count(DISTINCT location) AS n
+                    FROM readings WHERE {IN_MONTH} GROUP BY 1) ORDER BY n, hour LIMIT 1)
+        SELECT pollutant, l.location, q.hour
+        FROM {TABLE_KEYS}, (SELECT DISTINCT location FROM readings) l, quiet q
+        WHERE NOT EXISTS (SELECT 1 FROM readings r WHERE r.location = l.location AND date_trunc('hour', r.time) = q.hour)"""),
+    "presence_readback": readings(f"""
+        SELECT pollutant, location, CAST(time AS DATE) AS date, bit_or(CAST(1 AS BIGINT) << CAST(hour(time) AS INTEGER)) AS hours
+        FROM {TABLE_KEYS}, readings WHERE {IN_MONTH} GROUP BY ALL"""),
+    "gap_intervals_by_location": readings(f"""
+        , missing AS ({missing_stations(COVERAGE_HOURS)})
+        SELECT pollutant, location, min(hour) AS gap_start, max(hour) + INTERVAL 1 HOUR AS gap_end, count(*) AS hours
+        FROM (SELECT *, hour - to_hours(CAST(row_number() OVER (PARTITION BY pollutant, location ORDER BY hour) AS INTEGER)) AS island
+              FROM missing) GROUP BY pollutant, location, island"""),
+    "gap_hours_by_location": readings(missing_stations(RANGE_HOURS)),
+    "range_checks_by_hour": readings(range_checks_by_hour()),
+    "status_checks_by_hour": readings(
+        " UNION ALL ".join(
+            f"""SELECT date_trunc('hour', time) AS hour, location, '{key}' AS pollutant, count(*) AS rows,
+                count(*) FILTER (WHERE {status} = 'k') AS valid_rows, count(*) FILTER (WHERE {status} IS NULL) AS null_rows,
+                count(*) FILTER (WHERE {status} NOT IN {DOMAIN}) AS unknown_rows FROM readings GROUP BY 1, 2"""
+            for key, status in STATUS_COLUMNS.items()
+        )
+    ),
+    "sketch_days_readback": readings(
+        " UNION ALL ".join(
+            f"""SELECT '{key}' AS pollutant, '{metric}' AS metric, location, CAST(time AS DATE) AS date, count({metric}) AS n
+                FROM readings WHERE {STATUS_COLUMNS[key]} = 'k' GROUP BY location, CAST(time AS DATE) HAVING count({metric}) > 0"""
+            for key, (_, metrics) in TABLES.items()
+            for metric in metrics
+        )
+    ),
+    "sketch_quantiles_checked": readings(
+        "SELECT pollutant, metric, CAST(decile AS DOUBLE) / 10 AS rank, n, true AS within_bound FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{key}' AS pollutant, '{metric}' AS metric, count({metric}) AS n FROM readings WHERE {STATUS_COLUMNS[key]} = 'k'"
+            for key, (_, metrics) in TABLES.items()
+            for metric in metrics
+        )
+        + "), (SELECT unnest(range(1, 10)) AS decile) WHERE n > 0"
     ),
     "catch_up_state": f"""
         SELECT 'hourly' AS pipeline, {RUNNING_HOUR} - INTERVAL 1 HOUR AS last_processed_hour,

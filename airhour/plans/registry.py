@@ -24,6 +24,8 @@ from ..functions.time import (
 )
 from ..operators.coverage import coverage_gaps, coverage_present, missing_hours
 from ..operators.hourly import hourly_long, hourly_long_fetched, hourly_wide, naive_timestamps
+from ..operators.partials import finish, hourly_partials, merge_partials
+from ..operators.presence import PresenceTable, gap_hours, gap_intervals, presence_days
 from ..operators.quality import (
     null_profile,
     quality_score,
@@ -32,9 +34,29 @@ from ..operators.quality import (
     table_status_report,
     validation_profile,
 )
+from ..operators.sketches import (
+    RANK_BOUND,
+    SketchTable,
+    daily_sketches,
+    measured_ranks,
+    merge_sketches,
+    range_report_by,
+    sketch_quantiles,
+    status_report_by,
+)
 from ..schema import OUTPUT_COLUMNS, validate_output_schema
 from ..session import prepare, prepare_streaming, scratch_path
-from ..sinks.tables import AppendSink, HourPartitionSink, NarrowTableSink, ReportSink, export, materialise
+from ..sinks.tables import (
+    AppendSink,
+    HourPartitionSink,
+    NarrowTableSink,
+    ReportSink,
+    RunAppendSink,
+    Sink,
+    TablePartitionSink,
+    export,
+    materialise,
+)
 from ..sources.events import (
     STATUS_COLUMNS,
     event_source,
@@ -47,6 +69,7 @@ from ..sources.events import (
 from ..sources.ranges import backfill_range, incremental_range
 from ..sources.readings import ReadingSource
 from ..streaming.hourly import read_hours, read_stream, start_hourly_stream, stream_hourly_long
+from ..streaming.late import LateHours
 from .runs import backfill_from_state, run_backfill, run_incremental
 from .state import StateLog, latest_entry, latest_state, merge_metadata, metadata_value, next_hour
 
@@ -63,6 +86,9 @@ ONE_HOUR_END = "2024-01-12T19:00:00Z"
 AGAIN_START = "2024-01-10T08:00:00Z"
 AGAIN_END = "2024-01-10T18:00:00Z"
 AGAIN_TABLES = ["co", "nox"]
+EMPTIED_START = "2024-01-08T06:00:00Z"
+EMPTIED_END = "2024-01-11T09:00:00Z"
+LATE_TYPES = ["error", "view"]
 AGAIN_VERSION = "v2.0.0"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -352,6 +378,88 @@ def coverage_gaps_silent_stations(spark: SparkSession, sf_dir: str) -> DataFrame
     return coverage_gaps(readings, ONE_HOUR, ONE_HOUR_END, by_location=True)
 
 
+@register
+def coverage_gaps_silent_station_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hour of the month in which the fewest stations have a row: the stations that are silent in it."""
+    rows = events(spark, sf_dir).select(ensure_utc(F.col("ts")).alias("time"), (F.col("user_id") % 5).alias("station"))
+    within = backfill_range(COVERAGE_START, COVERAGE_END)
+    hours = rows.where(within.predicate()).groupBy(truncate_to_hour(F.col("time")).alias("hour")).agg(F.count_distinct("station").alias("n"))
+    quiet = moments_of(hours, F.min_by("hour", F.struct("n", "hour")))[0]
+    readings = event_source(spark, sf_dir).readings(None, backfill_range(quiet, quiet + timedelta(hours=1)))
+    return coverage_gaps(readings, quiet, quiet + timedelta(hours=1), by_location=True)
+
+
+@register
+def presence_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps of two overlapping ranges, one of them added twice."""
+    table = PresenceTable(spark, scratch_path(spark, "presence"))
+    source = event_source(spark, sf_dir)
+    for start, end in ((COVERAGE_START, RANGE_END), (RANGE_START, COVERAGE_END), (RANGE_START, COVERAGE_END)):
+        table.add(presence_days(source.readings(None, backfill_range(start, end))))
+    return table.read().select("pollutant", "location", "date", "hours")
+
+
+@register
+def gap_intervals_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of hours without data, per table and location, from bitmaps of whole tables."""
+    days = presence_days(event_source(spark, sf_dir).readings())
+    return gap_intervals(days, COVERAGE_START, COVERAGE_END)
+
+
+@register
+def gap_hours_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The single hours of a range within the month that begins and ends inside a day."""
+    days = presence_days(event_source(spark, sf_dir).readings())
+    return gap_hours(gap_intervals(days, RANGE_START, RANGE_END))
+
+
+# Checks by hour and station, sketches
+
+
+@register
+def range_checks_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values in and out of range per metric, hour and location."""
+    return range_report_by(event_source(spark, sf_dir).readings())
+
+
+@register
+def status_checks_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid, null and unknown statuses per table, hour and location."""
+    return status_report_by(event_source(spark, sf_dir).readings())
+
+
+@register
+def sketch_days_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that the stored sketches of each day and location have seen; the days of two weeks are written again."""
+    table = SketchTable(spark, scratch_path(spark, "sketches"))
+    source = event_source(spark, sf_dir)
+    for within in (None, backfill_range("2024-01-05T00:00:00Z", "2024-01-19T00:00:00Z")):
+        table.put(daily_sketches(source.readings(None, within)))
+    seen = F.kll_sketch_get_n_double("sketch").alias("n")
+    return table.read().select("pollutant", "metric", "location", "date", seen)
+
+
+@register
+def sketch_quantiles_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deciles of each metric from merged sketches of all days and locations; whether their measured ranks keep the bound."""
+    readings = event_source(spark, sf_dir).readings()
+    whole = merge_sketches(daily_sketches(readings), "pollutant", "metric")
+    measured = measured_ranks(readings, sketch_quantiles(whole))
+    close = (F.col("rank_below") - RANK_BOUND <= F.col("rank")) & (F.col("rank") <= F.col("rank_reached") + RANK_BOUND)
+    return measured.select("pollutant", "metric", "rank", "n", close.alias("within_bound"))
+
+
+@register
+def hourly_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly means from partials of two deliveries of the rows, merged."""
+    late = F.col("event_type").isin(LATE_TYPES)
+    parts = []
+    for condition in (~late, late):
+        base = wide_readings(spark, events(spark, sf_dir).where(condition))
+        parts.append(hourly_partials(ReadingSource.from_wide(base, status=STATUS_COLUMNS).readings()))
+    return finish(merge_partials(parts[0].unionByName(parts[1])), VERSION)
+
+
 # Sinks: each query writes to a new folder and reads it back
 
 
@@ -524,14 +632,69 @@ def incremental_runs_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def backfill_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping backfills of whole days; the second replaces the days they share."""
+    """Two overlapping backfills of whole days, all tables; the second replaces the days they share."""
     source = event_source(spark, sf_dir)
-    _, sink = run_target(spark)
+    sink = TablePartitionSink(path=scratch_path(spark, "tables"))
     for start, end in ((COVERAGE_START, "2024-01-19T00:00:00Z"), ("2024-01-05T00:00:00Z", COVERAGE_END)):
-        run_backfill(source, start, end, [sink], ["co", "meteo"], VERSION)
+        run_backfill(source, start, end, [sink], None, VERSION)
     return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
 
 
+@register
+def table_partition_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables by date and table, then ten hours of a day of two of them: all else stays."""
+    sink = TablePartitionSink(path=scratch_path(spark, "tables"))
+    source = event_source(spark, sf_dir)
+    run_backfill(source, COVERAGE_START, COVERAGE_END, [sink], None, VERSION)
+    run_backfill(source, AGAIN_START, AGAIN_END, [sink], AGAIN_TABLES, AGAIN_VERSION)
+    return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
+
+
+def emptied(spark: SparkSession, sf_dir: str, sink: HourPartitionSink | TablePartitionSink) -> DataFrame:
+    """All hours, then a backfill of a range whose readings have all gone."""
+    run_backfill(event_source(spark, sf_dir), COVERAGE_START, COVERAGE_END, [sink], None, VERSION)
+    gone = ensure_utc(F.col("ts")).between(ensure_utc(EMPTIED_START), ensure_utc(EMPTIED_END))
+    left = ReadingSource.from_wide(wide_readings(spark, events(spark, sf_dir).where(~gone)), status=STATUS_COLUMNS)
+    run_backfill(left, EMPTIED_START, EMPTIED_END, [sink], None, VERSION)
+    return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
+
+
+@register
+def table_partition_emptied_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill without any row removes what the target has of its range: whole days, and hours of a day."""
+    return emptied(spark, sf_dir, TablePartitionSink(path=scratch_path(spark, "tables")))
+
+
+@register
+def partition_emptied_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in partitions by day alone."""
+    return emptied(spark, sf_dir, HourPartitionSink(path=scratch_path(spark, "partitions"), unit="day"))
+
+
+class _Failing(Sink):
+    """Stands for what can stop a run after its rows are written and before its mark moves."""
+
+    def write(self, df: DataFrame, rows: int, scope: object = None) -> None:
+        raise RuntimeError("stopped")
+
+
+@register
+def append_runs_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that is stopped between sink and mark, an hour later again, and a further one: each hour is there once."""
+    source = event_source(spark, sf_dir)
+    state, _ = run_target(spark)
+    sink = RunAppendSink(path=scratch_path(spark, "runs"))
+    state.set_last_processed_hour("hourly", RUN_START)
+    now = clock(spark, sf_dir)
+    early = now - timedelta(days=2)
+    for sinks, as_of in (([sink, _Failing()], early), ([sink], early + timedelta(hours=1)), ([sink], now)):
+        try:
+            run_incremental(source, state, sinks, version=VERSION, as_of=as_of)
+        except RuntimeError:
+            continue
+    return sink.read(spark, state)
+
+
 @register
 def empty_run_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run without an hour to read writes nothing; the next one does. ``written`` counts the sinks of both."""
@@ -652,3 +815,20 @@ def stream_hourly_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_hourly_delayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table, hours kept open for late rows."""
     return streamed(spark, sf_dir, ["co"], STREAM_DELAY)
+
+
+@register
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two kinds arrive after their hours were closed and written: all closed hours hold them."""
+    prepare_streaming(spark)
+    rows = events(spark, sf_dir)
+    late = F.col("event_type").isin(LATE_TYPES)
+    path = scratch_path(spark, "late")
+    hours = LateHours(
+        path, lambda batch: ReadingSource.from_wide(wide_readings(batch.sparkSession, batch), status=STATUS_COLUMNS),
+        version=VERSION, unit="day",
+    )
+    for condition in (~late, late):
+        rows.where(condition).write.mode("append").parquet(f"{path}/inbox")
+        hours.start(read_stream(spark, f"{path}/inbox", rows.schema), f"{path}/checkpoint").awaitTermination()
+    return hours.read(spark)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
@@ -16,10 +17,10 @@ from ..operators.quality import validate_dataframe
 from ..session import ensure_checkpoint_dir
 from ..functions.naming import build_metric_columns
 from ..schema import guard_not_null
-from ..sinks.tables import Scope, Sink, export
+from ..sinks.tables import RunAppendSink, Scope, Sink, export
 from ..sources.ranges import TimeRange, backfill_range, incremental_range, time_range
 from ..sources.readings import ReadingSource, Readings
-from .state import DEFAULT_VERSION, StateLog
+from .state import DEFAULT_VERSION, RUN, StateLog
 
 logger = logging.getLogger(__name__)
 
@@ -38,7 +39,11 @@ class RunResult:
 
 
 def _execute(
-    readings: list[Readings], version: str | None, sinks: list[Sink], count_fetched: bool = False
+    readings: list[Readings],
+    version: str | None,
+    sinks: list[Sink],
+    count_fetched: bool = False,
+    run: str | None = None,
 ) -> RunResult:
     """One job computes the rows and all counts; the sinks read its output."""
     tables = [item.table for item in readings]
@@ -50,8 +55,10 @@ def _execute(
     counts = observation.get
     by_table = {table.key: counts[table.key] for table in tables}
     fetched = {table.key: counts[f"fetched.{table.key}"] for table in tables} if count_fetched else {}
-    scope = [Scope(tuple(build_metric_columns(item.table.metrics).values()), item.within) for item in readings]
-    written = export(result, sinks, counts["rows"], scope)
+    scope = [
+        Scope(tuple(build_metric_columns(item.table.metrics).values()), item.within, item.table.key) for item in readings
+    ]
+    written = export(result, sinks, counts["rows"], scope, run)
     logger.info("%d hourly rows, by table %s, written to %s", counts["rows"], by_table, written)
     return RunResult(result, counts["rows"], by_table, fetched, written)
 
@@ -65,6 +72,19 @@ def _readings(
     return source.readings_each({key: ranges[mark] for mark, keys in marks.items() for key in keys})
 
 
+def run_id(marks: dict[str, list[str]], starts: dict[str, datetime | None], end: datetime) -> str:
+    """The id of a run: its marks with their tables, what each had processed, and the hour it reaches."""
+    parts = [f"{mark}:{','.join(sorted(keys))}:{starts.get(mark)}" for mark, keys in sorted(marks.items())]
+    hour = (end if end.tzinfo else end.replace(tzinfo=timezone.utc)).astimezone(timezone.utc)
+    digest = hashlib.sha256("|".join(parts).encode()).hexdigest()[:16]
+    return f"{hour:%Y%m%dT%H}-{digest}"
+
+
+def _require_mark(sinks: list[Sink], moves: bool) -> None:
+    if not moves and any(isinstance(sink, RunAppendSink) for sink in sinks):
+        raise ValueError("this run moves no mark that could list its rows; use a sink that replaces them")
+
+
 def _validate(readings: list[Readings]) -> None:
     for item in readings:
         validate_dataframe(item.frame(), pollutant_type=item.table.key)
@@ -107,6 +127,7 @@ def run_incremental(
     as_of = as_of or datetime.now(timezone.utc)
     keys = tables or source.catalog.keys
     marks = {f"{pipeline}-{key}": [key] for key in keys} if per_table_state else {pipeline: keys}
+    _require_mark(sinks, incremental and (per_table_state or set(keys) == set(source.catalog.keys)))
     states = state.load_all(list(marks)) if incremental else {}
     ranges = {
         mark: incremental_range(states[mark].last_processed_hour, as_of) if incremental else time_range(as_of=as_of)
@@ -115,7 +136,8 @@ def run_incremental(
     readings = _readings(source, marks, ranges, apart=count_fetched)
     if gate:
         _validate(readings)
-    done = _execute(readings, version, sinks, count_fetched)
+    run = run_id(marks, {mark: states[mark].last_processed_hour for mark in states}, as_of)
+    done = _execute(readings, version, sinks, count_fetched, run)
     if incremental and len(done.written) == len(sinks):
         for mark, marked in marks.items():
             if not per_table_state and set(marked) != set(source.catalog.keys):
@@ -125,7 +147,7 @@ def run_incremental(
                     mark,
                     get_previous_hour_start(as_of),
                     version,
-                    {"pipeline_version": version, "last_execution": as_of.isoformat()},
+                    {"pipeline_version": version, "last_execution": as_of.isoformat(), RUN: run},
                     states[mark],
                 )
                 done.advanced.append(mark)
@@ -148,6 +170,7 @@ def run_backfill(
     readings = source.readings(tables, backfill_range(start, end))
     if gate:
         _validate(readings)
+    _require_mark(sinks, False)
     done = _execute(readings, version, sinks)
     done.gaps = coverage_gaps(readings, start, end)
     return done
@@ -172,6 +195,7 @@ def backfill_from_state(
     as_of = as_of or datetime.now(timezone.utc)
     keys = tables or source.catalog.keys
     marks = {f"{pipeline}-{key}": [key] for key in keys} if per_table_state else {pipeline: keys}
+    _require_mark(sinks, per_table_state or set(keys) == set(source.catalog.keys))
     states = state.load_all(list(marks))
     ranges: dict[str, TimeRange] = {}
     starts: list[datetime] = []
@@ -190,7 +214,8 @@ def backfill_from_state(
     if not ranges:
         return None
     readings = _readings(source, {mark: marks[mark] for mark in ranges}, ranges)
-    done = _execute(readings, version, sinks)
+    run = run_id({mark: marks[mark] for mark in ranges}, {m: states[m].last_processed_hour for m in ranges}, as_of)
+    done = _execute(readings, version, sinks, run=run)
     done.gaps = coverage_gaps(readings, min(starts), get_current_hour_start(as_of))
     skipped = done.rows > 0 and len(done.written) != len(sinks)
     for mark in ranges:
@@ -200,7 +225,7 @@ def backfill_from_state(
         state.set_last_processed_hour(
             mark,
             get_previous_hour_start(as_of),
-            metadata={"last_backfill": as_of.isoformat()},
+            metadata={"last_backfill": as_of.isoformat(), RUN: run},
             previous=states[mark],
         )
         done.advanced.append(mark)

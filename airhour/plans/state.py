@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
@@ -14,6 +15,8 @@ from ..session import ensure_checkpoint_dir
 
 # Fixed value: version of a pipeline that has not recorded one.
 DEFAULT_VERSION = "v1.0.0"
+# Metadata of an entry that a run wrote: the id under which sinks may have kept its rows.
+RUN = "run"
 
 
 def latest_state(log: DataFrame) -> DataFrame:
@@ -110,14 +113,25 @@ class StateLog:
         }
         return {pipeline: found.get(pipeline, State(pipeline)) for pipeline in pipelines}
 
+    def runs(self, pipelines: Sequence[str] | None = None) -> list[str]:
+        """The ids of all runs that moved a mark; an id for each run, from one column of the log."""
+        log = self.entries()
+        if pipelines is not None:
+            log = log.where(F.col("pipeline").isin(list(pipelines)))
+        run = metadata_value(F.col("metadata"), RUN)
+        return [row["run"] for row in log.where(run.isNotNull()).select(run.alias("run")).distinct().collect()]
+
     def compact(self) -> None:
-        """Keep the newest entry of each pipeline, in a file of its own; older entries go.
+        """Keep the newest entry of each pipeline, and those that list runs, in one file; other entries go.
 
         Not to be run beside a run that advances the state. Pipelines are replaced one folder at a time,
         and a folder that has not been replaced yet gives the same state as before.
         """
         ensure_checkpoint_dir(self.spark)
-        newest = latest_entry(self.entries()).select(*STATE_SCHEMA.fieldNames()).checkpoint()
+        newest = latest_entry(self.entries()).select(*STATE_SCHEMA.fieldNames())
+        listing = self.entries().where(metadata_value(F.col("metadata"), RUN).isNotNull())
+        older = listing.join(newest.select("pipeline", "updated_at"), ["pipeline", "updated_at"], "left_anti")
+        newest = newest.unionByName(older.select(*newest.columns)).checkpoint()
         writer = newest.repartition("pipeline").write.mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy("pipeline").parquet(self.path)
 
