@@ -405,7 +405,7 @@ WITH turns AS (
   UNION ALL
   SELECT c.conv_id, 1 AS part, t.p, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.p > c.h
 ), paths AS (
-  SELECT c.conv_id, coalesce(string_agg(md5(concat(length(role), ':', role, text)), '' ORDER BY part, p), '') AS path,
+  SELECT c.conv_id, coalesce(string_agg(md5(concat(length(role), ':', role, text)), '' ORDER BY part, p) FILTER (WHERE p IS NOT NULL), '') AS path,
          coalesce(list(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) ORDER BY part, p) FILTER (WHERE p IS NOT NULL), []) AS words
   FROM convs c LEFT JOIN rebuilt r ON c.conv_id = r.conv_id GROUP BY c.conv_id
 ), prefixes AS (

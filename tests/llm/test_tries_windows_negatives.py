@@ -52,11 +52,12 @@ def test_prefix_trie_pieces(spark, tmp_path, monkeypatch):
     assert spark_rows(prefix_trie.op11(frame)) == sql_rows(tmp_path, prefix_trie.OP11_SQL)
 
 
-def test_prefix_trie_long_chains(spark, tmp_path):
+def test_prefix_trie_long_chains(spark, tmp_path, monkeypatch):
     """Paths that part only after more turns than are looked at together, in oversized containers."""
+    monkeypatch.setattr(prefix_trie, "CHAIN", 8)
     rows = []
     for k in range(40):
-        rows += [(20 * k + 20, t, "user", f"turn {t}" if t < 300 + k % 3 else f"own {k}") for t in range(305)]
+        rows += [(20 * k + 20, t, "user", f"turn {t}" if t < 20 + k % 3 else f"own {k}") for t in range(25)]
     frame = as_file(spark, tmp_path, "conversations", rows, "conv_id long, turn long, role string, text string")
     heads, _ = prefix_trie.burst(prefix_trie.distinct_paths(prefix_trie.whole(frame)).cache(), 100, 1)
     assert max(h.depth for h in heads) > prefix_trie.CHAIN
@@ -100,18 +101,18 @@ def benchmark_case(seed=9):
         for _ in range(rng.randrange(3)):
             parts.insert(rng.randrange(len(parts) + 1), rng.choice(items)[1] or "")
         docs.append((k, rng.choice([" ", ", ", "\n", "-"]).join(parts)))
-    docs += [(None, "nobody knows this item"), (None, None), (300, ""), (301, "\x00the"), (5, docs[5][1]), (302, "w " * 5000)]
-    docs.append((303, " ".join(rng.choices(words, k=30_000))))
+    docs += [(None, "nobody knows this item"), (None, None), (300, ""), (301, "\x00the"), (5, docs[5][1]), (302, "w " * 800)]
+    docs.append((303, " ".join(rng.choices(words, k=2_500))))
     docs.append((304, "Nobody KNOWS--this\titém nobody knows this item"))
     return [(*d, "s", 1, "p", 1, 2, "a", 3, "i", 4) for d in docs], [(*i, "p") for i in items]
 
 
-@pytest.mark.parametrize("shard_bytes", [decontamination.SHARD_BYTES, 700])
+@pytest.mark.parametrize("shard_bytes", [decontamination.SHARD_BYTES, 1200])
 def test_decontamination(spark, tmp_path, shard_bytes):
     docs, items = benchmark_case()
     docs = as_file(spark, tmp_path, "documents", docs, DOCS)
     items = as_file(spark, tmp_path, "benchmark", items, ITEMS)
-    if shard_bytes < 1000:
+    if shard_bytes < 10_000:
         assert len(list(decontamination.shards(items, shard_bytes=shard_bytes))) > 2
     found = decontamination.summarise(decontamination.find(docs, items, shard_bytes=shard_bytes))
     assert spark_rows(found) == sql_rows(tmp_path, decontamination.OP12_SQL)
