@@ -30,6 +30,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airhour.llm.common import prepare_text
 from airhour.llm.suffix_order import PERIOD, Ordered
@@ -39,6 +40,7 @@ GRAM = 24  # bytes of the strings whose hashes are compared
 UNIT_BYTES = 6 << 20
 SLICE = 1 << 20  # strings that are looked at together
 BUCKET_BYTES = 3 << 20  # text of the corpus for each suffix bucket
+ANCHOR_BYTES = 32 << 20  # text of the corpus for each bucket of anchors
 CROWDED = 1000  # documents that share an anchor from which on its strings go by themselves
 _BASE = 0x9E3779B97F4A7C15
 
@@ -260,14 +262,16 @@ def _sent_runs(length: int, anchor_buckets: int, buckets: int):
                 bucket, rest = _bucket_and_rest(anchors, anchor_buckets)
                 wanted = rest | (bucket.astype(np.uint64) << np.uint64(40))
                 where = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-                for i in np.flatnonzero(known[where] == wanted).tolist():
-                    start, n, key = at + int(starts[i]), int(strings[i]), int(anchors[i])
-                    if hot[where[i]]:
+                some = np.flatnonzero(known[where] == wanted)
+                crowded = hot[where[some]].tolist()
+                lows, counts, offsets = (at + starts[some]).tolist(), strings[some].tolist(), offset[some].tolist()
+                for start, n, key, begin, many in zip(lows, counts, (anchors[some] >> np.uint64(24)).tolist(), offsets, crowded, strict=True):
+                    if many:
                         for k in range(start, start + n):
                             piece = text[k : k + length]
                             send(piece, xxhash.xxh64_intdigest(piece) >> 8, doc, place, k, 1, 0)
                     else:
-                        send(text[start : start + n - 1 + length], key >> 24, doc, place, start, n, int(offset[i]))
+                        send(text[start : start + n - 1 + length], key, doc, place, start, n, begin)
         number = docs.column("unit")[0].as_py()
         sent = [(b, s) for b, s in out.items()] + ([(buckets + number, gone)] if gone.run else [])
         return pa.table(
@@ -300,7 +304,33 @@ def _flat(rows: pa.Table, name: str) -> np.ndarray:
 
 
 def earlier(data: list[bytes], doc: np.ndarray, strings: np.ndarray, anchor: np.ndarray, length: int) -> np.ndarray:
-    """For each string of each run, in turn: whether a run of a smaller document has it too."""
+    """For each string of each run, in turn: whether a run of a smaller document has it too.
+
+    Equal runs, which several units send, are put in order once, for the least of their documents; those of other
+    documents have all their strings there.
+    """
+    flat = memoryview(b"".join(data))
+    ends = np.cumsum(strings + (length - 1))
+    number: dict[bytes, int] = {}
+    run = np.fromiter(
+        (number.setdefault(bytes(flat[a:b]), len(number)) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)),
+        dtype=np.int64,
+        count=len(strings),
+    )
+    if len(number) == len(strings):
+        return _earlier(list(number), doc, strings, anchor, length)
+    least = np.full(len(number), np.iinfo(np.int64).max)
+    np.minimum.at(least, run, doc)
+    head = np.zeros(len(number), dtype=np.int64)
+    head[run[::-1]] = np.arange(len(run))[::-1]  # the first of each
+    found = _earlier(list(number), least, strings[head], anchor[head], length)
+    many = strings[head]
+    first = np.cumsum(many) - many
+    inside = np.arange(int(strings.sum())) - np.repeat(np.cumsum(strings) - strings, strings)
+    return found[np.repeat(first[run], strings) + inside] | np.repeat(doc > least[run], strings)
+
+
+def _earlier(data: list[bytes], doc: np.ndarray, strings: np.ndarray, anchor: np.ndarray, length: int) -> np.ndarray:
     # Runs lie so that their anchors stand at residue 0: equal strings then mostly tie within one residue.
     size = strings + (length - 1)
     room = (anchor + size + 2 * PERIOD) // PERIOD * PERIOD
@@ -361,7 +391,14 @@ def _found_spans(length: int, buckets: int):
     return work
 
 
-CLEANED = "doc_id long, kept binary, n_bytes long, starts array<long>, ends array<long>"
+CLEANED = (
+    T.StructType()
+    .add("doc_id", T.LongType())
+    .add("kept", T.BinaryType())
+    .add("n_bytes", T.LongType())
+    .add("starts", T.ArrayType(T.LongType()))
+    .add("ends", T.ArrayType(T.LongType()))
+)
 
 
 def to_characters(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -418,6 +455,17 @@ def _cut_out(whole_characters: bool):
     return work
 
 
+def _nullable(kind: T.DataType) -> T.DataType:
+    """The type with nulls allowed everywhere but in keys of maps."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(_nullable(kind.keyType), _nullable(kind.valueType), True)
+    return kind
+
+
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, crowded: int = CROWDED, whole_characters: bool = False
 ) -> DataFrame:
@@ -429,21 +477,24 @@ def remove_repeats(
     spark = prepare_text(docs.sparkSession)
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     carried = F.struct(*others) if others else F.lit(None).cast("string")
+    # Results of Arrow functions may be null, and so may be all that they carry.
+    kind = _nullable(docs.select(carried.alias("carried")).schema["carried"].dataType)
     texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), carried.alias("carried")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), carried.cast(kind).alias("carried")
     )
-    cleaned = f"{CLEANED}, carried {texts.schema['carried'].dataType.simpleString()}"
+    cleaned = T.StructType([*CLEANED.fields, T.StructField("carried", kind)])
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     units = max(partitions, -(-n_bytes // UNIT_BYTES))
     buckets = max(partitions, -(-n_bytes // BUCKET_BYTES))
+    anchor_buckets = min(1 << 24, max(partitions, -(-n_bytes // ANCHOR_BYTES)))
     dealt = texts.withColumn("unit", F.pmod(F.xxhash64("doc_id", "text"), F.lit(units)).cast("int"))
-    sent = dealt.groupBy("unit").applyInArrow(_sent_anchors(length, partitions), ANCHORS)
+    sent = dealt.groupBy("unit").applyInArrow(_sent_anchors(length, anchor_buckets), ANCHORS)
     repeated = sent.groupBy("bucket").applyInArrow(_repeated_anchors(crowded), ANCHORS)
     runs = (
         dealt.groupBy("unit")
         .cogroup(repeated.groupBy("unit"))
-        .applyInArrow(_sent_runs(length, partitions, buckets), RUNS)
+        .applyInArrow(_sent_runs(length, anchor_buckets, buckets), RUNS)
     )
     spans = runs.groupBy("bucket").applyInArrow(_found_spans(length, buckets), SPANS)
     return dealt.groupBy("unit").cogroup(spans.groupBy("unit")).applyInArrow(_cut_out(whole_characters), cleaned)
