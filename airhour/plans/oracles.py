@@ -20,6 +20,7 @@ from .registry import (
     RANGE_START,
     RUN_START,
     STREAM_DELAY,
+    UNREADABLE,
     VERSION,
 )
 
@@ -303,6 +304,10 @@ ORACLES: dict[str, str] = {
         f"SELECT {anew(f'{AGAIN} AND metrica IN ({AGAIN_METRICS})')} FROM ({hourly()}) WHERE {SINCE_START}"
     ),
     "per_table_runs_readback": readings(f"SELECT * FROM ({hourly()}) WHERE {SINCE_START}"),
+    "tables_apart_readback": readings(
+        f"SELECT *, '{UNREADABLE}' AS failed, CAST({len(TABLES) - 1} AS BIGINT) AS marks_moved "
+        f"FROM ({hourly(keys=[key for key in TABLES if key != UNREADABLE])}) WHERE {SINCE_START}"
+    ),
     "catch_up_per_table": f"SELECT 'hourly-' || pollutant AS pipeline, "
     f"{RUNNING_HOUR} - INTERVAL 1 HOUR AS last_processed_hour FROM {TABLE_KEYS}",
     "catch_up_subset_state": readings(

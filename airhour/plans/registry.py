@@ -70,7 +70,7 @@ from ..sources.ranges import backfill_range, incremental_range
 from ..sources.readings import ReadingSource
 from ..streaming.hourly import read_hours, read_stream, start_hourly_stream, stream_hourly_long
 from ..streaming.late import LateHours
-from .runs import backfill_from_state, run_backfill, run_incremental
+from .runs import backfill_from_state, run_backfill, run_incremental, run_tables_apart
 from .state import StateLog, latest_entry, latest_state, merge_metadata, metadata_value, next_hour
 
 # The version tag and the ranges that the queries use.
@@ -88,6 +88,7 @@ AGAIN_END = "2024-01-10T18:00:00Z"
 AGAIN_TABLES = ["co", "nox"]
 EMPTIED_START = "2024-01-08T06:00:00Z"
 EMPTIED_END = "2024-01-11T09:00:00Z"
+UNREADABLE = "so2"
 LATE_TYPES = ["error", "view"]
 AGAIN_VERSION = "v2.0.0"
 
@@ -743,6 +744,23 @@ def per_table_runs_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
 
 
+@register
+def tables_apart_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over six tables of which one cannot be read: the rows of the others, and the mark of each row's table."""
+    shared = event_source(spark, sf_dir)
+    frames = {key: shared.fetch_table(key) for key in shared.catalog.keys}
+    frames[UNREADABLE] = frames[UNREADABLE].withColumn("location", F.raise_error(F.lit("unreadable")).cast("string"))
+    state, sink = run_target(spark)
+    for key in shared.catalog.keys:
+        state.set_last_processed_hour(f"hourly-{key}", RUN_START)
+    source = ReadingSource.from_frames(frames)
+    outcomes = run_tables_apart(source, state, [sink], version=VERSION, as_of=clock(spark, sf_dir))
+    failed = sorted(outcome.table for outcome in outcomes if outcome.error is not None)
+    moved = latest_state(state.entries()).where(F.col("last_processed_hour") > ensure_utc(RUN_START)).count()
+    facts = spark.read.parquet(sink.path).select(*OUTPUT_COLUMNS)
+    return facts.withColumns({"failed": F.lit(",".join(failed)), "marks_moved": F.lit(moved).cast("bigint")})
+
+
 @register
 def catch_up_per_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The marks after a catch-up of tables with marks of their own."""

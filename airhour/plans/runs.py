@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import logging
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.time import TimeLike, get_current_hour_start, get_previous_hour_start
@@ -38,23 +40,26 @@ class RunResult:
     gaps: DataFrame | None = None
 
 
-def _execute(
-    readings: list[Readings],
-    version: str | None,
-    sinks: list[Sink],
-    count_fetched: bool = False,
-    run: str | None = None,
-) -> RunResult:
-    """One job computes the rows and all counts; the sinks read its output."""
+def _compute(
+    readings: list[Readings], version: str | None, count_fetched: bool = False
+) -> tuple[DataFrame, dict[str, int]]:
+    """One job computes the rows and all counts; what follows reads its output."""
     tables = [item.table for item in readings]
     hourly = hourly_long_fetched(readings, version) if count_fetched else hourly_long(readings, version)
     # The guard stands before the rows are kept: a null fails the run before any sink has begun.
     long, observation = counted_by_table(guard_not_null(hourly), tables)
     ensure_checkpoint_dir(long.sparkSession)
     result = long.checkpoint()
-    counts = observation.get
+    return result, observation.get
+
+
+def _deliver(
+    result: DataFrame, counts: dict[str, int], readings: list[Readings], sinks: list[Sink], run: str | None
+) -> RunResult:
+    """The computed rows to all sinks."""
+    tables = [item.table for item in readings]
     by_table = {table.key: counts[table.key] for table in tables}
-    fetched = {table.key: counts[f"fetched.{table.key}"] for table in tables} if count_fetched else {}
+    fetched = {table.key: counts[f"fetched.{table.key}"] for table in tables if f"fetched.{table.key}" in counts}
     scope = [
         Scope(tuple(build_metric_columns(item.table.metrics).values()), item.within, item.table.key) for item in readings
     ]
@@ -63,6 +68,16 @@ def _execute(
     return RunResult(result, counts["rows"], by_table, fetched, written)
 
 
+def _execute(
+    readings: list[Readings],
+    version: str | None,
+    sinks: list[Sink],
+    count_fetched: bool = False,
+    run: str | None = None,
+) -> RunResult:
+    return _deliver(*_compute(readings, version, count_fetched), readings, sinks, run)
+
+
 def _readings(
     source: ReadingSource, marks: dict[str, list[str]], ranges: dict[str, TimeRange], apart: bool = False
 ) -> list[Readings]:
@@ -154,6 +169,72 @@ def run_incremental(
     return done
 
 
+@dataclass
+class TableOutcome:
+    """What became of one table: a result, or the error that stopped it."""
+
+    table: str
+    result: RunResult | None = None
+    error: Exception | None = None
+
+
+def run_tables_apart(
+    source: ReadingSource,
+    state: StateLog,
+    sinks: list[Sink],
+    tables: list[str] | None = None,
+    pipeline: str = "hourly",
+    version: str = DEFAULT_VERSION,
+    as_of: datetime | None = None,
+    gate: bool = False,
+    at_once: int = 4,
+) -> list[TableOutcome]:
+    """An incremental run in which a table that fails does not stop the others.
+
+    Each table has a mark and a job of its own, so tables on one base are scanned once each. Up to ``at_once`` tables are
+    computed at the same time, each in a job group and a scheduler pool of its name (pools share the cluster evenly where
+    ``spark.scheduler.mode`` is FAIR). Rows go to the sinks, and marks move, one table after another as they are ready; a
+    table that fails anywhere keeps its mark and is read again by the next run.
+    """
+    as_of = as_of or datetime.now(timezone.utc)
+    keys = tables or source.catalog.keys
+    marks = {key: f"{pipeline}-{key}" for key in keys}
+    states = state.load_all(list(marks.values()))
+    context = state.spark.sparkContext
+
+    def compute(key: str) -> tuple[list[Readings], DataFrame, dict[str, int]]:
+        context.setJobGroup(marks[key], f"hourly rows of {key}")
+        context.setLocalProperty("spark.scheduler.pool", marks[key])
+        try:
+            within = incremental_range(states[marks[key]].last_processed_hour, as_of)
+            readings = source.readings([key], within)
+            if gate:
+                _validate(readings)
+            return readings, *_compute(readings, version)
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", None)
+
+    outcomes = []
+    with ThreadPoolExecutor(max_workers=at_once) as threads:
+        waiting = {threads.submit(inheritable_thread_target(state.spark)(compute), key): key for key in keys}
+        for ready in as_completed(waiting):
+            key = waiting[ready]
+            last = states[marks[key]]
+            try:
+                readings, result, counts = ready.result()
+                run = run_id({marks[key]: [key]}, {marks[key]: last.last_processed_hour}, as_of)
+                done = _deliver(result, counts, readings, sinks, run)
+                if done.rows and len(done.written) == len(sinks):
+                    metadata = {"pipeline_version": version, "last_execution": as_of.isoformat(), RUN: run}
+                    state.set_last_processed_hour(marks[key], get_previous_hour_start(as_of), version, metadata, last)
+                    done.advanced.append(marks[key])
+                outcomes.append(TableOutcome(key, done))
+            except Exception as error:  # any failure is this table's alone
+                logger.exception("%s failed; its mark stays", key)
+                outcomes.append(TableOutcome(key, error=error))
+    return sorted(outcomes, key=lambda outcome: keys.index(outcome.table))
+
+
 def run_backfill(
     source: ReadingSource,
     start: TimeLike,
