@@ -26,7 +26,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, rows
     ids = ids.groupBy("doc_id").agg(F.max("label").alias("label"))
     ids = ids.withColumn("pick", F.xxhash64("doc_id")).orderBy("pick").limit(rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = texts.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    # Of several texts with one id the least counts, however the rows are dealt.
+    found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label", "pick").agg(F.min("text").alias("text"))
+    found = found.select("doc_id", "text", "label", "pick")
     path = scratch_path(spark, "labelled")
     found.write.parquet(path)
     return spark.read.schema(found.schema).parquet(path)

@@ -3,8 +3,8 @@
 Features of a whole text: densities of a fixed and of a learned lexicon, how near second-person
 words its hits stand, and rates of capitals, punctuation and obfuscation. The learned lexicon has
 words, and beginnings of words, that stand in toxic training texts far more often than in
-others. A bounded sample of labelled rows is dealt in two: one half gives the lexicon, the other, which
-the lexicon has not seen, the trees and the calibration.
+others. A bounded sample of labelled rows is dealt in two: each half is described with a lexicon learned from the
+other, and so gives the trees and the calibration.
 
 Defined results: a null or empty text has the features of no words, and the score that goes with them.
 Without labels of both kinds to learn from, every score is 0. Repeated rows have the same score, rows with
@@ -204,37 +204,52 @@ def raw_scores(model: ToxicityModel, x: np.ndarray) -> np.ndarray:
 
 
 def isotonic(z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rising step function nearest to the labels, by pooling neighbours that fall; ends and values of its steps."""
+    """The rising step function nearest to the labels, by pooling neighbours that fall; middles and values of its steps."""
     order = np.argsort(z, kind="stable")
     at, start = np.unique(z[order], return_index=True)
     sums = np.add.reduceat(y[order].astype(float), start)
     sizes = np.diff(np.append(start, len(z)))
     steps: list[list[float]] = []
-    for end, s, n in zip(at.tolist(), sums.tolist(), sizes.tolist(), strict=True):
-        steps.append([end, s, n])
+    for middle, s, n in zip(at.tolist(), sums.tolist(), sizes.tolist(), strict=True):
+        steps.append([middle * n, s, n])
         while len(steps) > 1 and steps[-2][1] * steps[-1][2] >= steps[-1][1] * steps[-2][2]:
-            end, s, n = steps.pop()
-            steps[-1] = [end, steps[-1][1] + s, steps[-1][2] + n]
-    return np.array([s[0] for s in steps]), np.array([(s[1] + 0.02) / (s[2] + 0.04) for s in steps])
+            middle, s, n = steps.pop()
+            steps[-1] = [steps[-1][0] + middle, steps[-1][1] + s, steps[-1][2] + n]
+    return np.array([s[0] / s[2] for s in steps]), np.array([(s[1] + 0.02) / (s[2] + 0.04) for s in steps])
 
 
 def calibrate(model: ToxicityModel, z: np.ndarray) -> np.ndarray:
+    """Between the middles of steps the score rises in line, beyond the last ones ever less: no order is lost."""
     if not len(model.calibrated):
         return sigmoid(z)
-    return model.calibrated[np.minimum(np.searchsorted(model.calibrated_at, z), len(model.calibrated) - 1)]
+    at, values = model.calibrated_at, model.calibrated
+    low, high = np.minimum(z - at[0], 0), np.maximum(z - at[-1], 0)
+    return np.interp(z, at, values) * np.exp(low) + (1 - values[-1]) * -np.expm1(-high)
 
 
 def train(rows: DataFrame) -> ToxicityModel | None:
-    """From ``text, label, pick`` of a bounded sample."""
+    """From ``text, label, pick`` of a bounded sample.
+
+    The features of each half use the lexicon of the other, so trees and calibration learn from all rows and no row
+    meets a lexicon that has seen it. Scores use the lexicon of the whole sample.
+    """
     half = F.pmod(F.shiftright("pick", 7), F.lit(2))
-    lexicon = learned_lexicon(rows.filter(half == 0))
-    spread = rows.sparkSession.sparkContext.broadcast(lexicon)
+    halves = [learned_lexicon(rows.filter(half == k)) for k in (0, 1)]
+    lexicon = learned_lexicon(rows)
+    spread = rows.sparkSession.sparkContext.broadcast(halves)
 
     @F.arrow_udf("array<double>")
-    def described(texts: pa.Array) -> pa.Array:
-        return pa.array(list(Features(spread.value).of([t or "" for t in texts.to_pylist()])), pa.list_(pa.float64()))
-
-    found = rows.filter(half == 1).select("label", "pick", described("text").alias("x")).toArrow().sort_by("pick")
+    def described(texts: pa.Array, own: pa.Array) -> pa.Array:
+        found: list = [None] * len(texts)
+        sides, words = np.array(own.to_pylist()), texts.to_pylist()
+        for k in (0, 1):
+            rows_of = np.flatnonzero(sides == k).tolist()
+            if rows_of:
+                for i, x in zip(rows_of, Features(spread.value[1 - k]).of([words[i] or "" for i in rows_of]), strict=True):
+                    found[i] = x
+        return pa.array(found, pa.list_(pa.float64()))
+
+    found = rows.select("label", "pick", described("text", half.cast("int")).alias("x")).toArrow().sort_by("pick")
     y = found.column("label").to_numpy().astype(np.int64)
     if len(np.unique(y)) < 2:
         return None
