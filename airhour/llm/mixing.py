@@ -95,17 +95,29 @@ def exponent_for(shares: DataFrame, max_repeats: float | None, target_entropy: f
     return low / (1 << GRID)
 
 
-def mix(
+def mix(docs: DataFrame, *args, **kwargs) -> DataFrame:
+    """Every column of ``docs``, with a row for each time it is read, and ``mix_tokens, mix_epoch, mix_place``.
+
+    ``mix_place`` orders the rows of a source within an epoch. A column of ``docs`` keeps its name; one added here that
+    has the same name gets underscores until it has its own. Arguments are those of ``repeated``.
+    """
+    taken, added = {c.lower() for c in docs.columns}, []
+    for name in ("mix_tokens", "mix_epoch", "mix_place"):
+        free = name
+        while free in taken:
+            free += "_"
+        added.append(F.col(name).alias(free))
+    return repeated(docs, *args, **kwargs).select("doc.*", *added)
+
+
+def repeated(
     docs: DataFrame,
     max_repeats: float | None = MAX_REPEATS,
     target_entropy: float | None = None,
     budget_tokens: int | None = None,
     seed: str = SEED,
 ) -> DataFrame:
-    """Every column of ``docs``, with a row for each time it is read, and ``mix_tokens, mix_epoch, mix_place``.
-
-    ``mix_place`` orders the rows of a source within an epoch.
-    """
+    """``doc``, a struct of all columns of ``docs``, once for each time it is read, and ``mix_tokens, mix_epoch, mix_place``."""
     spark = prepare_text(docs.sparkSession)
     keyed = {
         "mix_source": F.coalesce(F.col("source").cast("string"), F.lit("")),
@@ -146,21 +158,25 @@ def mix(
     running = running.withColumn("before", F.sum("tokens").over(in_order) - F.col("tokens"))
     ends = running.filter((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("tokens") > F.col("rest")))
     ends = ends.filter("rest > 0").select(
-        "mix_source", "whole", F.col("block_place").alias("end_block"), (F.col("rest") - F.col("before")).alias("room")
+        "mix_source", "block", "whole", F.col("block_place").alias("end_block"), (F.col("rest") - F.col("before")).alias("room")
     )
-    last = _placed(counted.join(ends, "mix_source"), seed, F.col("whole")).filter("block_place = end_block")
+    few = sources.count() <= BROADCAST_SOURCES  # else joins that move the rows, whose skew Spark splits
+    # Of a source only the rows of that block are met, one in 4096 or so.
+    of_block = counted.withColumn("block", F.substring("row_key", 1, BLOCK_DIGITS))
+    last = of_block.join(F.broadcast(ends) if few else ends, ["mix_source", "block"])
+    last = _placed(last, seed, F.col("whole"))
     by_place = Window.partitionBy("mix_source").orderBy("row_place")  # rows of that block alone
     fits = last.withColumn("running", F.sum("mix_tokens").over(by_place)).filter("running <= room")
     fits = fits.groupBy("mix_source").agg(F.max("row_place").alias("end_row"))
     cuts = (
         epochs.select("mix_source", "whole")
-        .join(ends.drop("whole", "room"), "mix_source", "left")
+        .join(ends.drop("block", "whole", "room"), "mix_source", "left")
         .join(fits, "mix_source", "left")
     )
 
     # Names of the columns of docs are out of reach here: each row keeps them in one struct.
     rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("doc_id"), *[c.alias(n) for n, c in keyed.items()])
-    if sources.count() <= BROADCAST_SOURCES:  # else a join that moves the rows, whose skew Spark splits
+    if few:
         cuts = F.broadcast(cuts)
     rows = _placed(rows.join(cuts, "mix_source", "left"), seed, F.col("whole"))
     again = (F.col("block_place") < F.col("end_block")) | (
@@ -170,13 +186,13 @@ def mix(
     read = rows.withColumn("times", times).filter("times > 0")
     read = read.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
     read = _placed(read, seed, F.col("mix_epoch"))
-    return read.select("doc.*", "mix_tokens", "mix_epoch", F.concat("block_place", "row_place").alias("mix_place"))
+    return read.select("doc", "mix_tokens", "mix_epoch", F.concat("block_place", "row_place").alias("mix_place"))
 
 
 def op8(documents: DataFrame) -> DataFrame:
-    return mix(documents.select("doc_id", "text", "source")).select(
-        "doc_id",
-        "source",
+    return repeated(documents.select("doc_id", "text", "source")).select(
+        "doc.doc_id",
+        "doc.source",
         F.col("mix_tokens").alias("n_tokens"),
         F.col("mix_epoch").cast("long").alias("epoch"),
         F.col("mix_place").alias("place"),
