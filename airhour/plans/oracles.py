@@ -10,10 +10,12 @@ from .registry import (
     AGAIN_START,
     AGAIN_TABLES,
     AGAIN_VERSION,
+    CLUSTERED_STATION,
     COVERAGE_END,
     COVERAGE_START,
     EMPTIED_END,
     EMPTIED_START,
+    GATE_PARTS,
     ONE_HOUR,
     ONE_HOUR_END,
     RANGE_END,
@@ -141,6 +143,17 @@ def range_checks_by_hour() -> str:
     )
 
 
+def gate_counts() -> str:
+    low, high = METRIC_RANGES["co"]["co_mean"]
+    bad = f"co_status NOT IN {DOMAIN} OR co_mean < {low} OR co_mean > {high}"
+    return " UNION ALL ".join(
+        f"""SELECT CAST({batch} AS BIGINT) AS batch, count(*) AS rows_read,
+            count(*) - count(*) FILTER (WHERE {bad}) AS rows_valid, count(*) FILTER (WHERE {bad}) AS rows_quarantined
+            FROM readings WHERE event_id IN (SELECT event_id FROM events WHERE event_type IN ({", ".join(f"'{t}'" for t in part)}))"""
+        for batch, part in enumerate(GATE_PARTS)
+    )
+
+
 def missing_stations(hours: str) -> str:
     """Hours without data of every table and station."""
     return f"""SELECT pollutant, l.location, h.hour
@@ -339,6 +352,10 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, hour - to_hours(CAST(row_number() OVER (PARTITION BY pollutant, location ORDER BY hour) AS INTEGER)) AS island
               FROM missing) GROUP BY pollutant, location, island"""),
     "gap_hours_by_location": readings(missing_stations(RANGE_HOURS)),
+    "clustered_range_scan": scan(
+        "meteo", f"time >= {moment(ONE_HOUR)} AND time < {moment(RANGE_END)} AND location = '{CLUSTERED_STATION}'"
+    ),
+    "stream_gate_counts": readings(gate_counts()),
     "range_checks_by_hour": readings(range_checks_by_hour()),
     "status_checks_by_hour": readings(
         " UNION ALL ".join(

@@ -46,6 +46,7 @@ from ..operators.sketches import (
 )
 from ..schema import OUTPUT_COLUMNS, validate_output_schema
 from ..session import prepare, prepare_streaming, scratch_path
+from ..sinks.clustering import compact_clustered, folder_bytes, write_clustered
 from ..sinks.tables import (
     AppendSink,
     HourPartitionSink,
@@ -68,6 +69,7 @@ from ..sources.events import (
 )
 from ..sources.ranges import backfill_range, incremental_range
 from ..sources.readings import ReadingSource
+from ..streaming.gate import GatedStream, gate_rules
 from ..streaming.hourly import read_hours, read_stream, start_hourly_stream, stream_hourly_long
 from ..streaming.late import LateHours
 from .runs import backfill_from_state, run_backfill, run_incremental, run_tables_apart
@@ -89,7 +91,9 @@ AGAIN_TABLES = ["co", "nox"]
 EMPTIED_START = "2024-01-08T06:00:00Z"
 EMPTIED_END = "2024-01-11T09:00:00Z"
 UNREADABLE = "so2"
+CLUSTERED_STATION = "Norte"
 LATE_TYPES = ["error", "view"]
+GATE_PARTS = [["click", "signup"], ["view"], ["purchase", "error"]]
 AGAIN_VERSION = "v2.0.0"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -414,6 +418,17 @@ def gap_hours_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gap_hours(gap_intervals(days, RANGE_START, RANGE_END))
 
 
+@register
+def clustered_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings of all tables laid out by hour and station, compacted, then a narrow range of one station."""
+    path = scratch_path(spark, "clustered")
+    rows = wide_readings(spark, events(spark, sf_dir))
+    write_clustered(rows, path, 16, group_bytes=64 << 10)
+    compact_clustered(spark.read.parquet(path), path, folder_bytes(spark, path), file_bytes=1 << 20, group_bytes=64 << 10)
+    source = ReadingSource.from_wide(spark.read.parquet(path), status=STATUS_COLUMNS)
+    return source.fetch_data("meteo", ONE_HOUR, RANGE_END).where(F.col("location") == CLUSTERED_STATION)
+
+
 # Checks by hour and station, sketches
 
 
@@ -850,3 +865,18 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.where(condition).write.mode("append").parquet(f"{path}/inbox")
         hours.start(read_stream(spark, f"{path}/inbox", rows.schema), f"{path}/checkpoint").awaitTermination()
     return hours.read(spark)
+
+
+@register
+def stream_gate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries of the rows, a batch each: read, valid and quarantined rows of a table under the strict gate."""
+    prepare_streaming(spark)
+    path = scratch_path(spark, "gate")
+    gate = GatedStream(path, gate_rules("co", strict=True))
+    rows = events(spark, sf_dir)
+    for part in GATE_PARTS:
+        rows.where(F.col("event_type").isin(part)).coalesce(1).write.mode("append").parquet(f"{path}/inbox")
+        stream = wide_readings(spark, read_stream(spark, f"{path}/inbox", rows.schema))
+        item = ReadingSource.from_wide(stream, status=STATUS_COLUMNS).readings(["co"])[0]
+        gate.start(item.frame(), f"{path}/checkpoint").awaitTermination()
+    return gate.counts(spark)
