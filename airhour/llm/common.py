@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -72,6 +74,20 @@ def laid_out(texts: list[bytes], gap: int) -> tuple[np.ndarray, np.ndarray, np.n
     return np.frombuffer(between.join(texts) + between, dtype=np.uint8), starts, lengths
 
 
+@functools.lru_cache(maxsize=1)
+def _trim():
+    """What gives freed memory back to the system, where the C library can."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Hand the memory that a task has freed back: workers live on between tasks, and so would its peak."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim is not None:
+        trim(0)
+
+
 def column_list(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

@@ -22,6 +22,7 @@ text shorter than ``length`` stays whole. Extra columns are ignored.
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airhour.llm.common import prepare_text
+from airhour.llm.common import give_back, prepare_text
 from airhour.llm.suffix_order import PERIOD, Ordered
 
 LENGTH = 50
@@ -455,6 +456,27 @@ def _cut_out(whole_characters: bool):
     return work
 
 
+def _tidy(work):
+    """The same work, after which the worker gives back what it has freed."""
+    if len(inspect.signature(work).parameters) == 2:
+
+        def pair(left: pa.Table, right: pa.Table) -> pa.Table:
+            try:
+                return work(left, right)
+            finally:
+                give_back()
+
+        return pair
+
+    def single(rows: pa.Table) -> pa.Table:
+        try:
+            return work(rows)
+        finally:
+            give_back()
+
+    return single
+
+
 def _nullable(kind: T.DataType) -> T.DataType:
     """The type with nulls allowed everywhere but in keys of maps."""
     if isinstance(kind, T.StructType):
@@ -489,15 +511,15 @@ def remove_repeats(
     buckets = max(partitions, -(-n_bytes // BUCKET_BYTES))
     anchor_buckets = min(1 << 24, max(partitions, -(-n_bytes // ANCHOR_BYTES)))
     dealt = texts.withColumn("unit", F.pmod(F.xxhash64("doc_id", "text"), F.lit(units)).cast("int"))
-    sent = dealt.groupBy("unit").applyInArrow(_sent_anchors(length, anchor_buckets), ANCHORS)
-    repeated = sent.groupBy("bucket").applyInArrow(_repeated_anchors(crowded), ANCHORS)
+    sent = dealt.groupBy("unit").applyInArrow(_tidy(_sent_anchors(length, anchor_buckets)), ANCHORS)
+    repeated = sent.groupBy("bucket").applyInArrow(_tidy(_repeated_anchors(crowded)), ANCHORS)
     runs = (
         dealt.groupBy("unit")
         .cogroup(repeated.groupBy("unit"))
-        .applyInArrow(_sent_runs(length, anchor_buckets, buckets), RUNS)
+        .applyInArrow(_tidy(_sent_runs(length, anchor_buckets, buckets)), RUNS)
     )
-    spans = runs.groupBy("bucket").applyInArrow(_found_spans(length, buckets), SPANS)
-    return dealt.groupBy("unit").cogroup(spans.groupBy("unit")).applyInArrow(_cut_out(whole_characters), cleaned)
+    spans = runs.groupBy("bucket").applyInArrow(_tidy(_found_spans(length, buckets)), SPANS)
+    return dealt.groupBy("unit").cogroup(spans.groupBy("unit")).applyInArrow(_tidy(_cut_out(whole_characters)), cleaned)
 
 
 def op6(documents: DataFrame) -> DataFrame:
