@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airhour.llm.common import chunks, column_list, fold, id_and_text, laid_out, prepare_text
+from airhour.llm.common import chunks, column_list, fold, give_back, id_and_text, laid_out, prepare_text
 
 BUCKETS = 1 << 12
 DIMENSIONS = 16
@@ -122,13 +122,25 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> Lan
     rows = sample.mapInArrow(_counted, "lang string, bucket array<int>, n array<int>").limit(sample_rows).toArrow()
     languages = sorted(set(rows.column("lang").to_pylist()))
     target = np.searchsorted(languages, rows.column("lang").to_pylist())
-    x = np.zeros((rows.num_rows, BUCKETS), dtype=np.float32)
-    for i, (bucket, n) in enumerate(zip(rows.column("bucket").to_pylist(), rows.column("n").to_pylist(), strict=True)):
-        if n:
-            x[i, bucket] = np.asarray(n, dtype=np.float32) / np.sum(n)
+    x = _parts(rows)
     # Rows come in any order; the descent must not depend on it.
     order = np.lexsort((x[:, 0], x @ np.arange(BUCKETS, dtype=np.float32), target))
-    return _descend(x[order], target[order], languages, seed)
+    x, target = x[order], target[order]
+    del rows
+    give_back()
+    return _descend(x, target, languages, seed)
+
+
+def _parts(rows: pa.Table) -> np.ndarray:
+    """What part of a row's subwords falls in each bucket; the lists are read where they lie, as numbers."""
+    x, at = np.zeros((rows.num_rows, BUCKETS), dtype=np.float32), 0
+    for batch in rows.to_batches():
+        for bucket, n in zip(batch.column("bucket"), batch.column("n"), strict=True):
+            if len(n):
+                counts = n.values.to_numpy()
+                x[at, bucket.values.to_numpy()] = counts.astype(np.float32) / counts.sum()
+            at += 1
+    return x
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:

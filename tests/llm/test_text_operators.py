@@ -476,3 +476,15 @@ def test_pipeline_stages(spark):
     last = corpus_pipeline.STAGES[-1][1](spark, now, SF)
     assert in_order(last.select("doc_id", "text").collect()) == in_order(now.select("doc_id", "text").collect())
     assert last.filter("n_tokens != size(ids)").count() == 0
+
+
+def test_language_parts_equal_counts_of_lists():
+    import pyarrow as pa
+
+    lists = [[3, 9], [], [0, 7, 4095], [5]]
+    counts = [[1, 3], [], [2, 2, 4], [6]]
+    one = pa.table({"bucket": pa.array(lists[:2], pa.list_(pa.int32())), "n": pa.array(counts[:2], pa.list_(pa.int32()))})
+    two = pa.table({"bucket": pa.array(lists[2:], pa.list_(pa.int32())), "n": pa.array(counts[2:], pa.list_(pa.int32()))})
+    x = language_id._parts(pa.concat_tables([one, two, two.slice(1, 1)]))
+    assert x.shape == (5, language_id.BUCKETS) and x.sum(axis=1).tolist() == [1, 0, 1, 1, 1]
+    assert x[0, 9] == 0.75 and x[2, [0, 7, 4095]].tolist() == [0.25, 0.25, 0.5] and x[4, 5] == 1
