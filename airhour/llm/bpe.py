@@ -27,11 +27,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airhour.llm.common import chunks, column_list, id_and_text, prepare_text
+from airhour.llm.common import chunks, column_list, give_back, id_and_text, prepare_text
 from airhour.llm.pieces import Units, gather
 
 VOCABULARY = "byte_bpe_50k.json"
 NEVER = float("inf")
+ENCODED_BYTES = 1 << 19  # of text encoded together; the arrays beside it take about 100 times as much
 # Places for remembered pairs of tokens in a Python worker, 9 bytes each.
 PAIR_PLACES = 1 << 21
 # Pre-tokens up to this many bytes are encoded side by side, longer ones one by one.
@@ -313,9 +314,10 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         known = vocabulary(path or vocabulary_path())
         for batch in batches:
             texts = [(t or "").encode("utf-8", "replace") for t in column_list(batch, "text")]
-            for lo, hi in chunks(texts):
+            for lo, hi in chunks(texts, ENCODED_BYTES):
                 ids = id_lists(*known.encode(texts[lo:hi]))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], ids], names=["doc_id", "ids"])
+            give_back()
 
     return id_and_text(docs).mapInArrow(encoded, "doc_id long, ids array<int>")
 
@@ -343,10 +345,11 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
         known = vocabulary(path or vocabulary_path())
         for batch in batches:
             texts = [(t or "").encode("utf-8", "replace") for t in column_list(batch, "text")]
-            for lo, hi in chunks(texts):
+            for lo, hi in chunks(texts, ENCODED_BYTES):
                 ids = id_lists(*known.encode(texts[lo:hi]))
                 text = pa.array(known.decode(ids), pa.string())
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], ids, text], names=["doc_id", "ids", "text"])
+            give_back()
 
     return id_and_text(docs).mapInArrow(both, "doc_id long, ids array<int>, text string")
 
