@@ -260,6 +260,34 @@ def test_pipeline_keeps_one_row_of_a_group(spark):
     assert in_order(r[:1] for r in kept) == brute_kept(rows)
 
 
+def near_copies(rng, n, words=120, edits=2):
+    base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    return [" ".join(base), *(edited(rng, " ".join(base), rng.randrange(1, edits + 1)) for _ in range(n - 1))]
+
+
+@pytest.mark.parametrize("block", [1, 3, 256])
+def test_near_duplicates_by_blocks(spark, block):
+    """Chains, of which hubs connect parts only, and groups of copies with many pairs about the limit."""
+    rng = random.Random(22)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(600)]
+    texts = [" ".join(words[k : k + 100]) for k in range(0, 500, 9)]
+    texts += near_copies(rng, 40, edits=4) + near_copies(rng, 20, words=90, edits=5)
+    rows = list(zip(rng.sample(range(1000), len(texts)), texts, strict=True))
+    kept = shingle_sets.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), block=block)
+    assert in_order(kept.select("doc_id").collect()) == brute_kept(rows)
+
+
+def test_near_copies_make_no_row_for_every_pair(spark, monkeypatch, tmp_path):
+    """What near_duplicates stores for a group of copies grows with the copies, not with their pairs."""
+    n = 300
+    texts = near_copies(random.Random(23), n, words=150, edits=3)
+    monkeypatch.setattr(shingle_sets, "scratch_path", lambda _, name: f"{tmp_path}/{name}-{random.randrange(10**9)}")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.doc_id for r in shingle_sets.one_of_each(docs).collect()] == [r[0] for r in brute_kept(list(enumerate(texts)))]
+    stored = [spark.read.parquet(str(path)).count() for kind in ("pairs", "blocks") for path in tmp_path.glob(f"{kind}-*")]
+    assert n / 2 < sum(stored) <= 6 * n, stored
+
+
 def test_bands_find_similar_sets():
     rng = np.random.default_rng(3)
     met = 0
